@@ -42,8 +42,23 @@ EVENT_SPEC = replace(
 )
 
 
+# Declared, so that opening a table starts no schema-inference job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, within: TripSpec | None = None) -> DataFrame:
@@ -69,7 +84,7 @@ def raw_trips(spark: SparkSession, sf_dir: str, within: TripSpec | None = None)
     riders = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("dest_id"))
     cabs = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("origin_id"))
     refunded = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
-    sign = F.when(refunded, -1).otherwise(1)
+    sign = F.when(refunded, -1.0).otherwise(1.0)
     price = F.col("l_extendedprice")
     return (
         table(spark, sf_dir, "lineitem")
@@ -85,8 +100,8 @@ def raw_trips(spark: SparkSession, sf_dir: str, within: TripSpec | None = None)
             "origin_id",
             "dest_id",
             (F.col("l_quantity") - 2).alias("distance"),
-            (F.when(refunded, -price).otherwise(price)).cast("decimal(18,2)").alias("fare_amount"),
-            (sign * price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).cast("decimal(18,6)").alias("total_amount"),
+            (sign * price).alias("fare_amount"),
+            (sign * price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("total_amount"),
             F.when(F.col("l_returnflag") != "N", F.col("l_linenumber")).alias("party_size"),
         )
     )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gate import binding as b
-from tripgrain.functions.numeric import as_double
-from tripgrain.functions.temporal import interval_text, micros_between, minutes_between, seconds_between
+from tripgrain.functions.numeric import as_double, exact_sum
+from tripgrain.functions.temporal import interval_parts, interval_text, micros_between, seconds_between, to_minutes
 from tripgrain.operators.enrich import LABELS, enrich
 from tripgrain.operators.joins import null_safe_join
 from tripgrain.operators.staging import VALID, clean_trips
@@ -59,19 +59,25 @@ def _report(name: str, source: Callable[[SparkSession, str], DataFrame] = enrich
 # --- checks ---------------------------------------------------------------------------------------------
 
 
-def _evidence(spark: SparkSession, d: str, gappy: bool = False) -> Evidence:
-    """Trips and enriched trips stored once, since a suite looks at them several times."""
+def _evidence(spark: SparkSession, d: str, gappy: bool = False, keep: str = "trips enriched") -> Evidence:
+    """`keep` names the stages that are stored once because the suite at hand looks at them several times."""
     make, places = (b.gappy_trips, b.short_lookup) if gappy else (b.raw_trips, b.lookup)
-    trips = durable(make(spark, d, SPEC), "trips")
-    lookup = places(spark, d)
+    trips, lookup = make(spark, d, SPEC), places(spark, d)
+    if "trips" in keep:
+        trips = durable(trips, "trips")
     clean = clean_trips(trips, SPEC)
     columns = [*SPEC.trip_columns, "trip_duration_minutes", VALID, *LABELS, "pickup_date"]
-    stored = durable(enrich(clean, lookup, SPEC).select(*columns), "enriched")
-    return direct_evidence(SPEC, trips, clean, lookup, stored)
+    labelled = enrich(clean, lookup, SPEC).select(*columns)
+    if "enriched" in keep:
+        labelled = durable(labelled, "enriched")
+    return direct_evidence(SPEC, trips, clean, lookup, labelled)
+
+
+KEEP = {"checks_staging": "trips", "checks_enriched": "trips enriched"}
 
 
 def _suite(name: str, gappy: bool = False) -> Query:
-    return lambda spark, d: SUITES[name](_evidence(spark, d, gappy))
+    return lambda spark, d: SUITES[name](_evidence(spark, d, gappy, KEEP.get(name, "enriched")))
 
 
 def _all_check_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -103,17 +109,14 @@ def segment_vs_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def duration_seconds(spark: SparkSession, d: str) -> DataFrame:
-    start, end = _event_pair()
-    return b.table(spark, d, "events").select(
-        "event_id", seconds_between(start, end).alias("seconds"), minutes_between(start, end).alias("minutes")
-    )
+    seconds = seconds_between(*_event_pair()).alias("seconds")
+    return b.table(spark, d, "events").select("event_id", seconds).withColumn("minutes", to_minutes("seconds"))
 
 
 def duration_text(spark: SparkSession, d: str) -> DataFrame:
     start, end = _event_pair()
-    return b.table(spark, d, "events").select(
-        "event_id", interval_text(start, end).alias("elapsed"), micros_between(start, end).alias("micros")
-    )
+    parts = b.table(spark, d, "events").withColumns({"micros": micros_between(start, end), **interval_parts(start, end)})
+    return parts.select("event_id", "micros", interval_text().alias("elapsed"))
 
 
 def _event_pair():
@@ -132,13 +135,17 @@ def distinct_tuples(spark: SparkSession, d: str) -> DataFrame:
 
 
 def filtered_sums(spark: SparkSession, d: str) -> DataFrame:
-    trips = with_keys(gappy_enriched(spark, d), SPEC)
+    """Sums of the rows that meet a condition; null where no row does."""
     same = F.col("route_category") == "Same-Zone"
+    amount, party = F.col(SPEC.total), F.col(SPEC.party)
+    trips = with_keys(gappy_enriched(spark, d), SPEC).withColumns(
+        {"same_amount": F.when(same, amount), "cross_amount": F.when(~same, amount), "far_party": F.when(F.col(SPEC.distance) > 40, party)}
+    )
     return trips.groupBy("pickup_borough").agg(
         F.count_if(same).alias("same_zone_trips"),
-        as_double(F.sum(F.when(same, F.col("total_amount")))).alias("same_zone_amount"),
-        as_double(F.sum(F.when(~same, F.col("total_amount")))).alias("cross_zone_amount"),
-        F.sum(F.when(F.col("distance") > 40, F.col("party_size"))).alias("far_party"),
+        as_double(exact_sum(trips, "same_amount")).alias("same_zone_amount"),
+        as_double(exact_sum(trips, "cross_amount")).alias("cross_zone_amount"),
+        F.sum("far_party").alias("far_party"),
     )
 
 

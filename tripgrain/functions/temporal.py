@@ -1,7 +1,7 @@
 """Durations between wall-clock times.
 
-Built from calendar fields, which for `timestamp_ntz` do not involve the session time zone. Casting to a
-zoned timestamp and subtracting would shift trips that cross a daylight-saving change.
+`timestamp_ntz` values are subtracted as they are, so the session time zone plays no part. Casting them to
+zoned timestamps first would shift trips that cross a daylight-saving change.
 """
 
 from __future__ import annotations
@@ -10,69 +10,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
-DAY_SECONDS = 86_400
-DAY_MICROS = DAY_SECONDS * MICROS
 
+# Counting seconds from here keeps them positive, so that cutting off a fraction always rounds down.
+FIRST_MOMENT = "0001-01-01"
 
-def _second_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
-
-def _micro_of_day(ts: Column) -> Column:
-    whole = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * MICROS
-    return whole + (F.extract(F.lit("SECOND"), ts) * MICROS).cast("bigint")
-
-
-def whole_days(start: Column, end: Column) -> Column:
-    """Midnights crossed from start to end."""
-    return F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")
+def _second_number(ts: Column) -> Column:
+    since = ts - F.lit(FIRST_MOMENT).cast("timestamp_ntz")
+    return since.cast("interval second").cast("bigint")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed: 00:00:00.9 to 00:00:01.1 is 1."""
-    return whole_days(start, end) * DAY_SECONDS + (_second_of_day(end) - _second_of_day(start))
+    return _second_number(end) - _second_number(start)
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return whole_days(start, end) * DAY_MICROS + (_micro_of_day(end) - _micro_of_day(start))
+    return ((end - start).cast("interval second").cast("decimal(18,6)") * MICROS).cast("bigint")
 
 
-def minutes_between(start: Column, end: Column) -> Column:
-    """`seconds / 60` to two places, as a double.
+def to_minutes(seconds: str) -> Column:
+    """`seconds / 60` to two places, as a double, from a column of whole seconds.
 
     seconds * 5 / 3 is the number of hundredths of a minute. Thirds are never halfway, so integer
     arithmetic rounds exactly and no row pays for a decimal rounding call.
     """
-    seconds = seconds_between(start, end)
-    size = _div(F.abs(seconds) * 10 + 3, 6)
-    return F.when(seconds < 0, -size).otherwise(size) / F.lit(100.0)
-
-
-def interval_text(start: Column, end: Column) -> Column:
-    """Elapsed time as text: `1 day 02:00:00`, `-00:00:00.25`, `60 days`; each part carries its own sign."""
-    micros = micros_between(start, end)
-    days = _div(micros, DAY_MICROS)
-    rest = micros % DAY_MICROS
-    size = F.abs(rest)
-    fraction = size % MICROS
-    clock = F.concat(
-        F.when(rest < 0, "-").otherwise(""),
-        _two_digits(_div(size, 3600 * MICROS)),
-        F.lit(":"),
-        _two_digits(_div(size, 60 * MICROS) % 60),
-        F.lit(":"),
-        _two_digits(_div(size, MICROS) % 60),
-        F.when(fraction == 0, "").otherwise(
-            F.concat(F.lit("."), F.rtrim(F.lpad(fraction.cast("string"), 6, "0"), F.lit("0")))
-        ),
-    )
-    day_text = F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day").otherwise(" days"))
-    return F.when(days == 0, clock).when(rest == 0, day_text).otherwise(F.concat(day_text, F.lit(" "), clock))
+    size = f"(10 * abs({seconds}) + 3) div 6"
+    return F.expr(f"if({seconds} < 0, -({size}), {size}) / 100D")
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("bigint"))
+def interval_parts(start: Column, end: Column) -> dict[str, Column]:
+    """Elapsed time as Spark writes it, cut into its day part (`0`, `-1`) and its clock part (`02:00:00.25`)."""
+    body = F.split_part((end - start).cast("interval day to second").cast("string"), F.lit("'"), F.lit(2))
+    return {"elapsed_days": F.split_part(body, F.lit(" "), F.lit(1)), "elapsed_clock": F.split_part(body, F.lit(" "), F.lit(2))}
 
 
-def _two_digits(n: Column) -> Column:
-    return F.lpad(n.cast("string"), 2, "0")
+def interval_text(days: str = "elapsed_days", clock: str = "elapsed_clock") -> Column:
+    """Elapsed time as text from its two parts: `1 day 02:00:00`, `-00:00:00.25`, `60 days`.
+
+    Whole days first, then the clock part unless it is zero; each part carries its own sign.
+    """
+    return F.expr(
+        f"CASE {days} WHEN '0' THEN {clock} WHEN '-0' THEN concat('-', {clock}) "
+        f"ELSE concat({days}, if({days} IN ('1', '-1'), ' day', ' days'), "
+        f"if({clock} = '00:00:00', '', concat(if({days} LIKE '-%', ' -', ' '), {clock}))) END"
+    )

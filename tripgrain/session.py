@@ -15,6 +15,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # call-site capture costs about a millisecond per column expression while a plan is declared
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -17,9 +17,10 @@ def read_lookup(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
 
 
 def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most `rows + 1` rows.
+    """Hint a broadcast only after seeing that there are at most `rows` rows.
 
     A larger table is returned unhinted: the join then runs as a sort-merge join, where the adaptive
     skew rule splits a location that holds a large share of the trips.
     """
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+    seen = len(small.select(F.lit(1)).take(rows + 1))
+    return F.broadcast(small) if seen <= rows else small
