@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.spec import TripSpec
@@ -107,8 +107,8 @@ def raw_trips(spark: SparkSession, sf_dir: str, within: TripSpec | None = None)
     )
 
 
-def after(ts, seconds):
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+def after(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.join(home, F.col("user_id") == F.col("c_custkey")).select(
         "event_id",
         F.col("ts").alias("pickup_ts"),
-        after(F.col("ts"), F.col("value") * 60 - 300).alias("dropoff_ts"),
+        F.timestamp_add("MICROSECOND", F.rint(F.col("value") * 6e7 - 3e8).cast("bigint"), F.col("ts")).alias("dropoff_ts"),
         F.col("c_nationkey").alias("origin_id"),
         ((F.col("c_nationkey") + F.length("event_type")) % 25).alias("dest_id"),
         F.col("value").alias("distance"),

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 # Decimal places kept when a floating-point measure is summed.
 SUM_SCALE = 6
-EXACT = T.DecimalType(27, SUM_SCALE)
+STEP = f"{10**-SUM_SCALE:.{SUM_SCALE}f}"
+EXACT = f"decimal(27,{SUM_SCALE})"
 
 
 def as_double(c: Column) -> Column:
@@ -37,13 +38,13 @@ def exact_sum(df: DataFrame, name: str) -> Column:
     that is not finite raises an error instead of giving a wrong total.
     """
     kind = df.schema[name].dataType
-    c = F.col(name)
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.sum(c)
-    whole = F.floor(c)
-    millionths = F.rint((as_double(c) - whole) * F.lit(float(10**SUM_SCALE))).cast("bigint")
-    step = F.lit(f"0.{'0' * (SUM_SCALE - 1)}1").cast(T.DecimalType(SUM_SCALE, SUM_SCALE))
-    return (F.sum(whole).cast(EXACT) + F.sum(millionths).cast("decimal(20,0)") * step).cast(EXACT)
+        return F.sum(name)
+    whole = f"floor(`{name}`)"
+    millionths = f"cast(rint((`{name}` - {whole}) * {10**SUM_SCALE}D) AS bigint)"
+    return F.expr(
+        f"cast(cast(sum({whole}) AS {EXACT}) + cast(sum({millionths}) AS decimal(20,0)) * {STEP}BD AS {EXACT})"
+    )
 
 
 def mean(c: Column, over: Column | None = None) -> Column:
