@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Set on the builder; an existing cluster session keeps whatever it already has.
 SESSION_CONF = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,16 +31,20 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a temporary one only in local mode where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    named = tempfile.mkdtemp(prefix="tripgrain-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tripgrain-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
