@@ -10,17 +10,15 @@ from pyspark.sql import types as T
 
 from tripgrain.functions import logic
 from tripgrain.functions.numeric import exact_sum, mean, percent, ratio, round_to
-from tripgrain.functions.temporal import interval_parts, interval_text, micros_between, seconds_between, to_minutes
+from tripgrain.functions.temporal import micros_between, seconds_between, to_minutes, with_interval_text
 
 PAIR = T.StructType([T.StructField("a", T.TimestampNTZType()), T.StructField("b", T.TimestampNTZType())])
 
 
 def elapsed(spark, pairs):
     a, b = F.col("a"), F.col("b")
-    df = spark.createDataFrame(pairs, PAIR).withColumns(
-        {"s": seconds_between(a, b), "us": micros_between(a, b), **interval_parts(a, b)}
-    )
-    return df.select("s", "us", to_minutes("s").alias("m"), interval_text().alias("text")).collect()
+    df = spark.createDataFrame(pairs, PAIR).withColumns({"s": seconds_between(a, b), "us": micros_between(a, b)})
+    return with_interval_text(df.withColumn("m", to_minutes("s")), "a", "b", "text").collect()
 
 
 def test_rounding_takes_the_stored_value(spark):

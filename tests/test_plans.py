@@ -11,7 +11,7 @@ from tripgrain.operators import enrich as enrich_module
 from tripgrain.operators.enrich import enrich
 from tripgrain.operators.staging import clean_trips
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.refresh import read_enriched, write_enriched
+from tripgrain.plans.refresh import gathered, read_enriched, write_enriched
 
 
 def physical(df):
@@ -75,9 +75,15 @@ def test_peak_hours_keep_one_row_per_key_and_task(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_only_raw_columns_of_eligible_trips_are_shuffled(stored):
+    plan = physical(gathered(stored, WEEK))
+    exchange, below = plan.split("REBALANCE_PARTITIONS_BY_COL", 1)
+    assert "trip_duration" not in below and "Filter" in below and plan.count("Exchange") == 1
+
+
 def test_stored_dates_are_pruned(spark, trips_of, places, tmp_path):
     path = str(tmp_path / "enriched")
-    write_enriched(enrich(clean_trips(trips_of([trip()]), WEEK), places, WEEK), path)
+    write_enriched(trips_of([trip()]), places, WEEK, path)
     plan = physical(read_enriched(spark, path, WEEK))
     assert "pickup_date" in re.search(r"PartitionFilters: \[(.*?)\], Pushed", plan).group(1)
 

@@ -243,9 +243,9 @@ def test_enriched_table_is_replaced_per_date(spark, trips_of, places, tmp_path):
     path = str(tmp_path / "enriched")
     wide = TripSpec(period_start=datetime(2026, 1, 5), period_end=datetime(2026, 1, 19))
     first = [trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")]
-    write_enriched(enrich(clean_trips(trips_of(first), wide), places, wide), path)
+    write_enriched(trips_of(first), places, wide, path)
     again = [trip(), trip(), trip()]
-    write_enriched(enrich(clean_trips(trips_of(again), WEEK), places, WEEK), path)
+    write_enriched(trips_of(again), places, WEEK, path)
     assert spark.read.parquet(path).count() == 4
     assert read_enriched(spark, path, WEEK).count() == 3
     assert read_enriched(spark, path, wide).count() == 4

@@ -6,10 +6,11 @@ zoned timestamps first would shift trips that cross a daylight-saving change.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+DAY_MICROS = 86_400 * MICROS
 
 # Counting seconds from here keeps them positive, so that cutting off a fraction always rounds down.
 FIRST_MOMENT = "0001-01-01"
@@ -26,7 +27,9 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return ((end - start).cast("interval second").cast("decimal(18,6)") * MICROS).cast("bigint")
+    """Elapsed microseconds; exact for spans below 285 years."""
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return F.rint(seconds.cast("double") * float(MICROS)).cast("bigint")
 
 
 def to_minutes(seconds: str) -> Column:
@@ -39,19 +42,33 @@ def to_minutes(seconds: str) -> Column:
     return F.expr(f"if({seconds} < 0, -({size}), {size}) / 100D")
 
 
-def interval_parts(start: Column, end: Column) -> dict[str, Column]:
-    """Elapsed time as Spark writes it, cut into its day part (`0`, `-1`) and its clock part (`02:00:00.25`)."""
-    body = F.split_part((end - start).cast("interval day to second").cast("string"), F.lit("'"), F.lit(2))
-    return {"elapsed_days": F.split_part(body, F.lit(" "), F.lit(1)), "elapsed_clock": F.split_part(body, F.lit(" "), F.lit(2))}
+def with_interval_text(df: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    """Add elapsed time as text: `1 day 02:00:00`, `-00:00:00.25`, `60 days`.
 
-
-def interval_text(days: str = "elapsed_days", clock: str = "elapsed_clock") -> Column:
-    """Elapsed time as text from its two parts: `1 day 02:00:00`, `-00:00:00.25`, `60 days`.
-
-    Whole days first, then the clock part unless it is zero; each part carries its own sign.
+    Whole days first, then the clock part unless it is zero; each part carries its own sign. Every step is a
+    column of its own, so each is computed once per row and the generated code stays small. The clock's
+    digits come from one number: 1083005 is 08:30:05 behind a leading 1.
     """
-    return F.expr(
-        f"CASE {days} WHEN '0' THEN {clock} WHEN '-0' THEN concat('-', {clock}) "
-        f"ELSE concat({days}, if({days} IN ('1', '-1'), ' day', ' days'), "
-        f"if({clock} = '00:00:00', '', concat(if({days} LIKE '-%', ' -', ' '), {clock}))) END"
+    micros, days, rest, digits, clock = (f"{name}_{part}" for part in ("micros", "days", "rest", "digits", "clock"))
+    seconds = f"(abs({rest}) div {MICROS})"
+    fraction = f"substr(cast({MICROS} + abs({rest}) % {MICROS} AS string), 2)"
+    steps = (
+        {micros: micros_between(F.col(start), F.col(end))},
+        {days: F.expr(f"{micros} div {DAY_MICROS}"), rest: F.expr(f"{micros} % {DAY_MICROS}")},
+        {digits: F.expr(f"cast(1000000 + {seconds} div 3600 * 10000 + {seconds} div 60 % 60 * 100 + {seconds} % 60 AS string)")},
+        {
+            clock: F.expr(
+                f"concat(if({rest} < 0, '-', ''), substr({digits}, 2, 2), ':', substr({digits}, 4, 2), ':', "
+                f"substr({digits}, 6, 2), if({rest} % {MICROS} = 0, '', concat('.', trim(TRAILING '0' FROM {fraction}))))"
+            )
+        },
+        {
+            name: F.expr(
+                f"CASE WHEN {days} = 0 THEN {clock} ELSE concat({days}, if(abs({days}) = 1, ' day', ' days'), "
+                f"if({rest} = 0, '', concat(' ', {clock}))) END"
+            )
+        },
     )
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(micros, days, rest, digits, clock)

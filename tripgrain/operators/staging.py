@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.functions.logic import any_of, known
-from tripgrain.functions.temporal import interval_parts, interval_text, seconds_between, to_minutes
+from tripgrain.functions.temporal import seconds_between, to_minutes, with_interval_text
 from tripgrain.spec import TripSpec
 
 FLAGS = ("has_nonpositive_duration", "has_nonpositive_distance", "has_excessive_distance", "has_invalid_amount")
@@ -24,15 +24,10 @@ def wall_clock(moment) -> Column:
 
 
 def with_duration(trips: DataFrame, start: str, end: str) -> DataFrame:
-    """Add elapsed time as text and as minutes. What both are made of is a column first, so it is computed once."""
-    a, b = F.col(start), F.col(end)
-    return (
-        trips.withColumns({"elapsed_seconds": seconds_between(a, b), **interval_parts(a, b)})
-        .withColumns(
-            {"trip_duration_hms": interval_text(), "trip_duration_minutes": to_minutes("elapsed_seconds")}
-        )
-        .drop("elapsed_seconds", "elapsed_days", "elapsed_clock")
-    )
+    """Add elapsed time as text and as minutes."""
+    trips = with_interval_text(trips, start, end, "trip_duration_hms")
+    trips = trips.withColumn("elapsed_seconds", seconds_between(F.col(start), F.col(end)))
+    return trips.withColumn("trip_duration_minutes", to_minutes("elapsed_seconds")).drop("elapsed_seconds")
 
 
 def clean_trips(trips: DataFrame, spec: TripSpec) -> DataFrame:

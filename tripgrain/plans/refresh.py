@@ -1,9 +1,10 @@
 """The full refresh: stage, enrich, report, check, publish.
 
-The trips are read from storage twice (staging checks, enrichment) and the enriched table, narrowed to the
-columns at hand, a fixed number of times however many reports and checks there are. Only two things are
-kept between steps, both as Parquet in folders every executor reaches: the enriched table and the additive
-totals, which are smaller by orders of magnitude.
+However many reports and checks there are, whole trips are shuffled once (to lay the enriched table out by
+date) and the enriched table is aggregated five times: place-and-hour totals and route totals for the
+reports, the same two again for the checks, and label groups. Everything after that works on those totals,
+which are smaller by orders of magnitude. What is kept between steps is Parquet in folders every executor
+reaches, so a lost executor costs its running tasks, not the steps before.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripgrain.operators.checks import enforce
 from tripgrain.operators.enrich import enrich
-from tripgrain.operators.staging import clean_trips, in_period
+from tripgrain.operators.staging import VALID, clean_trips, in_period
 from tripgrain.operators.totals import PLACE_HOUR, ROUTE, trip_totals
 from tripgrain.plans import published
 from tripgrain.plans.marts import all_marts
@@ -35,22 +36,31 @@ class Refresh:
     datasets: dict[str, DataFrame]
 
 
-def write_enriched(enriched: DataFrame, path: str) -> DataFrame:
-    """Write the enriched table partitioned by pickup date and read it back.
+def gathered(trips: DataFrame, spec: TripSpec) -> DataFrame:
+    """The eligible trips, raw columns only, brought together by pickup date.
 
-    Overwriting is per partition: a rerun for a period replaces only that period's dates. The rebalance step
-    gathers each date into few files of the advisory size; a date that holds a large share of the trips is
-    split over several tasks, small ones are merged. (A stored date that lost its last trip is not replaced;
-    the count check of the enriched suite then stops the refresh.)
+    This is the one shuffle of whole trips in a refresh. It comes after the filter and before anything is
+    derived, so neither rejected trips nor durations and label strings travel. The rebalance step sizes its
+    tasks by bytes: a date that holds a large share of the trips is split, small dates are merged.
+    """
+    eligible = clean_trips(trips, spec).where(F.col(VALID)).select(*trips.columns)
+    dated = eligible.withColumn("pickup_date", F.to_date(spec.pickup_ts))
+    return dated.hint("rebalance", "pickup_date").drop("pickup_date")
+
+
+def write_enriched(trips: DataFrame, lookup: DataFrame, spec: TripSpec, path: str) -> None:
+    """Write the enriched trips of the spec's period, partitioned by pickup date.
+
+    Overwriting is per partition: a rerun for a period replaces only that period's dates. (A stored date
+    that lost its last trip is not replaced; the count check of the enriched suite then stops the refresh.)
     """
     (
-        enriched.hint("rebalance", "pickup_date")
+        enrich(clean_trips(gathered(trips, spec), spec), lookup, spec)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("pickup_date")
         .parquet(path)
     )
-    return enriched.sparkSession.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
 
 
 def read_enriched(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
@@ -63,7 +73,7 @@ def read_enriched(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
 def build(trips: DataFrame, lookup: DataFrame, spec: TripSpec, enriched_path: str) -> Refresh:
     """Everything up to, but not including, publication. Raises if any check fails."""
     staged = clean_trips(trips, spec)
-    write_enriched(enrich(staged, lookup, spec), enriched_path)
+    write_enriched(trips, lookup, spec, enriched_path)
     enriched = read_enriched(trips.sparkSession, enriched_path, spec)
 
     # Reports come from these totals; the checks aggregate the enriched table again.

@@ -35,6 +35,7 @@ from tripgrain.operators.joins import null_safe_join, only_row
 from tripgrain.operators.staging import FLAGS, VALID, in_period, wall_clock
 from tripgrain.operators.totals import ROUTE, roll_up, trip_totals
 from tripgrain.plans.marts import REPORTS, mart
+from tripgrain.session import durable
 from tripgrain.sources.lookup import bounded
 from tripgrain.spec import CROSS_ZONE, SAME_ZONE, TripSpec
 
@@ -43,7 +44,8 @@ from tripgrain.spec import CROSS_ZONE, SAME_ZONE, TripSpec
 class Evidence:
     """What the suites look at: the data of every stage and the reports under test.
 
-    `totals(grain)` gives an aggregate of the enriched trips at that grain or finer.
+    `totals(grain)` gives an aggregate of the enriched trips at that grain or finer. `keep` stores a small
+    frame that has several consumers, which would otherwise each compute their own columns of it.
     """
 
     spec: TripSpec
@@ -53,6 +55,7 @@ class Evidence:
     enriched: DataFrame
     marts: Mapping[str, DataFrame]
     totals: Callable[[tuple[str, ...]], DataFrame]
+    keep: Callable[[DataFrame, str], DataFrame] = durable
 
 
 class LazyMarts(Mapping):
@@ -188,7 +191,7 @@ def label_mismatches(groups: DataFrame, lookup: DataFrame, spec: TripSpec) -> Da
 
 def checks_enriched(e: Evidence) -> DataFrame:
     spec = e.spec
-    groups = label_groups(e.enriched, spec)
+    groups = e.keep(label_groups(e.enriched, spec), "label-groups")
     ids = e.lookup.agg((F.count(spec.location_id) - F.countDistinct(spec.location_id)).alias("repeated"))
     metrics = label_metrics(groups, spec).withColumns(
         {
