@@ -97,13 +97,15 @@ def check_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, d: str) -> DataFrame:
-    totals = trip_totals(enriched(spark, d), SPEC, "pickup_zone", "pickup_borough")
+    totals = durable(trip_totals(enriched(spark, d), SPEC, "pickup_zone", "pickup_borough"), "zone-totals")
     build, _ = REPORTS["zone_performance"]
     return published.summary(totals, build(totals, SPEC), staged(spark, d), SPEC)
 
 
 def segment_vs_all(spark: SparkSession, d: str) -> DataFrame:
-    return insights.segment_vs_all(_report("airport_comparison")(spark, d), summary(spark, d))
+    build, grain = REPORTS["airport_comparison"]
+    totals = durable(trip_totals(enriched(spark, d), SPEC, *grain), "origin-totals")
+    return insights.segment_vs_all(build(totals, SPEC), totals)
 
 
 # --- single operators -----------------------------------------------------------------------------------
@@ -154,12 +156,14 @@ def filtered_sums(spark: SparkSession, d: str) -> DataFrame:
 def null_safe_match(spark: SparkSession, d: str) -> DataFrame:
     """Pickups against dropoffs per label pair; the unlabelled trips of both sides meet as well."""
     trips = gappy_enriched(spark, d)
+    pairs = trips.groupBy(SPEC.dest_id, *LABELS).agg(F.count(F.lit(1)).alias("trips"))
     keys = ["zone", "borough"]
-    out = trips.groupBy(F.col("pickup_zone").alias("zone"), F.col("pickup_borough").alias("borough")).agg(
-        F.count(F.lit(1)).alias("pickups")
+    out = pairs.groupBy(F.col("pickup_zone").alias("zone"), F.col("pickup_borough").alias("borough")).agg(
+        F.sum("trips").alias("pickups")
     )
-    back = trips.groupBy(F.col("dropoff_zone").alias("zone"), F.col("dropoff_borough").alias("borough")).agg(
-        F.count(F.lit(1)).alias("dropoffs"), F.count(SPEC.dest_id).alias("known_dropoffs")
+    back = pairs.groupBy(F.col("dropoff_zone").alias("zone"), F.col("dropoff_borough").alias("borough")).agg(
+        F.sum("trips").alias("dropoffs"),
+        F.sum(F.when(F.col(SPEC.dest_id).isNotNull(), F.col("trips")).otherwise(0)).alias("known_dropoffs"),
     )
     return null_safe_join(out, back, keys).select("a.zone", "a.borough", "pickups", "dropoffs", "known_dropoffs")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import percent, round_to
+from tripgrain.functions.numeric import percent, ratio, round_to
 from tripgrain.operators.joins import only_row
 from tripgrain.operators.rank import first_in
 from tripgrain.operators.staging import VALID
@@ -32,13 +32,21 @@ def missing_share(totals: DataFrame) -> DataFrame:
 
 
 def week_over_week(daily: DataFrame) -> DataFrame:
-    """Each date against the date seven calendar days earlier, if that one was observed."""
-    days = daily.select("pickup_date", "daily_trip_count")
-    earlier = days.select(
-        F.date_add("pickup_date", 7).alias("pickup_date"), F.col("daily_trip_count").alias("trips_week_before")
+    """Each date against the date seven calendar days earlier, if that one was observed.
+
+    Every date is sent to itself and to the date a week later, where the two meet in one aggregate; a
+    self-join would compute the daily report twice.
+    """
+    now, before = F.col("daily_trip_count"), F.col("trips_week_before")
+    nothing = F.lit(None).cast("bigint")
+    sent = F.array(
+        F.struct("pickup_date", now.alias("daily_trip_count"), nothing.alias("trips_week_before")),
+        F.struct(F.date_add("pickup_date", 7).alias("pickup_date"), nothing.alias("daily_trip_count"), now.alias("trips_week_before")),
     )
-    change = percent(F.col("daily_trip_count") - F.col("trips_week_before"), F.col("trips_week_before"))
-    return days.join(earlier, "pickup_date").withColumn("change_pct", round_to(change, 2))
+    met = daily.select(F.inline(sent)).groupBy("pickup_date").agg(
+        F.max("daily_trip_count").alias("daily_trip_count"), F.max("trips_week_before").alias("trips_week_before")
+    )
+    return met.where(now.isNotNull() & before.isNotNull()).withColumn("change_pct", round_to(percent(now - before, before), 2))
 
 
 def daily_rejections(staged: DataFrame, spec: TripSpec) -> DataFrame:
@@ -80,15 +88,20 @@ def hour_leaders(zone_hours: DataFrame) -> DataFrame:
     return leaders.select("pickup_hour_of_the_day", "pickup_zone", "pickup_borough", "avg_trips_per_active_day")
 
 
-def segment_vs_all(segments: DataFrame, summary: DataFrame) -> DataFrame:
-    """Each segment's means against those of all eligible trips."""
-    overall = only_row(summary.select("avg_payment", "avg_minutes"))
-    return segments.select(
+def segment_vs_all(segments: DataFrame, totals: DataFrame) -> DataFrame:
+    """Each segment's means against those of all eligible trips; `totals` may have any grain."""
+    overall = only_row(
+        totals.agg(
+            ratio(F.sum("payments"), F.sum("paid_trips")).alias("payment"),
+            ratio(F.sum("minutes"), F.sum("timed_trips")).alias("minutes"),
+        )
+    )
+    return segments.withColumn("overall", overall).select(
         "pickup_segment",
         "avg_recorded_payment_usd",
-        round_to(overall["avg_payment"], 2).alias("all_trips_payment_usd"),
+        round_to(F.col("overall.payment"), 2).alias("all_trips_payment_usd"),
         "avg_trip_minutes",
-        round_to(overall["avg_minutes"], 2).alias("all_trips_minutes"),
+        round_to(F.col("overall.minutes"), 2).alias("all_trips_minutes"),
     )
 
 

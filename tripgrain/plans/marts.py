@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.functions.numeric import as_double, mean, percent, ratio, round_to
-from tripgrain.operators.joins import only_row
+from tripgrain.operators.joins import null_safe_join, only_row
 from tripgrain.operators.rank import first_in, top
 from tripgrain.operators.totals import ROUTE, roll_up, trip_totals
 from tripgrain.spec import TripSpec
@@ -140,9 +140,13 @@ def priority_windows(totals: DataFrame, spec: TripSpec) -> DataFrame:
         rank="zone_rank",
     )
     hours = cells.groupBy("origin_id", "pickup_hour").agg(F.sum("trips").alias("hour_trips"))
-    # `zones` holds at most spec.priority_zones rows, so only their hours are ranked
+    # `zones` holds at most spec.priority_zones rows, so only their hours are ranked. The null-safe join
+    # puts no filter on the hours side, which keeps its shuffle the same as that of the zones side.
+    listed = null_safe_join(hours, F.broadcast(zones), ["origin_id"]).select(
+        "zone_rank", "b.origin_id", "pickup_zone", "pickup_hour", "hour_trips", "monthly_trips"
+    )
     peaks = first_in(
-        hours.join(F.broadcast(zones), "origin_id"), ["zone_rank"], F.desc("hour_trips"), F.asc("pickup_hour")
+        listed.where(F.col("origin_id").isNotNull()), ["zone_rank"], F.desc("hour_trips"), F.asc("pickup_hour")
     )
     return peaks.select(
         "zone_rank",
