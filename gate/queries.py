@@ -64,7 +64,7 @@ def _evidence(spark: SparkSession, d: str, gappy: bool = False, keep: str = "tri
     make, places = (b.gappy_trips, b.short_lookup) if gappy else (b.raw_trips, b.lookup)
     trips, lookup = make(spark, d, SPEC), places(spark, d)
     if "trips" in keep:
-        trips = durable(trips, "trips")
+        trips = durable(trips.select(*SPEC.trip_columns), "trips")
     clean = clean_trips(trips, SPEC)
     columns = [*SPEC.trip_columns, "trip_duration_minutes", VALID, *LABELS, "pickup_date"]
     labelled = enrich(clean, lookup, SPEC).select(*columns)
@@ -129,9 +129,13 @@ def _event_pair():
 
 
 def distinct_tuples(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct rows of several columns; a row with nulls is a value like any other."""
-    trips = gappy_enriched(spark, d)
-    return trips.agg(
+    """Distinct rows of several columns; a row with nulls is a value like any other.
+
+    The trips are reduced to their distinct labels first; several distinct counts over the trips themselves
+    would copy every trip once per count.
+    """
+    labels = gappy_enriched(spark, d).groupBy("pickup_zone", "pickup_borough", "dropoff_zone").agg(F.count(F.lit(1)))
+    return labels.agg(
         F.countDistinct(F.struct("pickup_zone", "pickup_borough", "dropoff_zone")).alias("label_tuples"),
         F.countDistinct(F.struct("pickup_zone")).alias("zones_with_unknown"),
         F.countDistinct("pickup_zone").alias("zones"),

@@ -225,6 +225,7 @@ def test_refresh_publishes_everything_it_checked(spark, trips_of, places, week_r
     assert result.checks.count() == 66 and result.checks.where("check_status = 'PASS'").count() == 66
     assert sorted(os.listdir(f"{out}/csv")) == sorted(published.ORDER) == sorted(os.listdir(f"{out}/extract"))
     assert {"summary", "quality_checks", "priority_windows"} <= set(os.listdir(f"{out}/evidence"))
+    assert spark.read.json(f"{out}/evidence/about").first()[0] == "2026-01-05 through 2026-01-11"
     stored = spark.read.parquet(f"{out}/extract/priority_windows")
     assert sorted(map(str, stored.collect())) == sorted(map(str, result.marts["priority_windows"].collect()))
     assert len([d for d in os.listdir(f"{out}/enriched") if d.startswith("pickup_date=")]) == 7

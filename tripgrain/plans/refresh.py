@@ -134,7 +134,9 @@ def run_refresh(trips: DataFrame, lookup: DataFrame, spec: TripSpec, out: str) -
     for row in (frame.first() for frame in verified):
         if "FAIL" in row:
             raise RuntimeError(f"export does not match its dataset: {row}")
-    evidence = {"summary": result.summary, "quality_checks": result.checks}
+    last_day = (spec.period_end - timedelta(microseconds=1)).date()
+    period = F.lit(f"{spec.period_start.date()} through {last_day}").alias("reporting_period")
+    evidence = {"about": result.summary.select(period), "summary": result.summary, "quality_checks": result.checks}
     evidence.update({name: result.marts[name] for name in published.ORDER if name in result.marts})
     write_evidence(evidence, f"{out}/evidence")
     return result
