@@ -65,6 +65,17 @@ def test_one_shuffle_per_simple_report(stored, places, name):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", list(REPORTS))
+def test_each_report_reads_the_trips_once(spark, stored, places, name):
+    # without adaptive execution the reuse of a shuffle shows in the plan before it runs
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical(mart(name, enrich(clean_trips(stored, WEEK), places, WEEK), WEEK))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_ranking_limits_before_numbering(stored, places):
     plan = physical(mart("priority_windows", enrich(clean_trips(stored, WEEK), places, WEEK), WEEK))
     assert "TakeOrderedAndProject" in plan
