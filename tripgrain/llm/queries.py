@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.llm.common import fresh_path, table
+from tripgrain.llm.common import fresh_path, id_remainder, table
 from tripgrain.llm.decontaminate import find_leaks
+from tripgrain.llm.html_text import extract_text
+from tripgrain.llm.language_model import score_texts
 from tripgrain.llm.packing import pack_documents
+from tripgrain.llm.quality_model import fit_nearest, score_quality
 from tripgrain.llm.quality_rules import judge_quality
 from tripgrain.llm.simhash import near_copies, print_text
 from tripgrain.llm.token_store import read_tokens, write_tokens
+from tripgrain.llm.toxicity import fit_toxicity, score_toxicity
 from tripgrain.llm.url_rules import judge_urls, rules_frame
 
 # Fixed by the contract.
@@ -49,6 +53,30 @@ def op5_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op6_quality_model(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").where(id_remainder(F.col("doc_id"), 4) != 2)
+    scored = score_quality(docs, fit_nearest(docs, labels))
+    return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").where(id_remainder(F.col("doc_id"), 3) != 1)
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select("doc_id", (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_language_model(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = score_texts(docs, id_remainder(F.col("doc_id"), 5) != 1)
+    return scored.withColumn("held_out", ~F.col("in_training")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op9_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return extract_text(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     copies = near_copies(table(spark, d, "documents"))
     return copies.select("doc_id", print_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -60,6 +88,10 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_quality_model": op6_quality_model,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_model": op8_language_model,
+    "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
 }
 
