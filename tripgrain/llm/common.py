@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # Fixed by the contracts: a word is a run of characters other than these six.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,5 +59,14 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def _reach(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has found it (a cluster has it installed or gets it by
+    --py-files)."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _reach(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -94,7 +94,9 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.filter(w, lambda x: (F.char_length(x) >= 3) & x.endswith("!!"))).cast("bigint").alias("n_shouted"),
         F.size(F.filter(w, lambda x: F.lower(F.rtrim(x, F.lit("!?.,;:#*$%&|"))).isin(*STOP_WORDS))).cast("bigint").alias("n_stop_words"),
     )
-    return df.select(*docs.columns, counts.alias("q"))
+    # the optimizer moves no filter below explode; else a filter on the result would be written out in terms of the text,
+    # and the words would be split anew at every step of the array functions
+    return df.select(*docs.columns, F.explode(F.array(counts)).alias("q"))
 
 
 def _measures(q: Column) -> dict[str, Column]:

@@ -77,6 +77,12 @@ def op9_html_text(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, d)
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     copies = near_copies(table(spark, d, "documents"))
     return copies.select("doc_id", print_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -93,6 +99,24 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
+    "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+# What DuckDB can say in SQL; the others are tested against brute force in tests/llm.
+ORACLE = {
+    "op1_url_rules": r"""
+        WITH cut AS (
+            SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut
+        ), rules(rule_host, rule_path, verdict) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), fits AS (
+            SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+            FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY page_id
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)""",
+}

@@ -23,16 +23,19 @@ from tripgrain.llm.common import free_name, stored
 
 SAMPLE = {1: 3000, 0: 6000}  # labelled rows of each class that are used at most
 THRESHOLD = 0.7  # fixed by the contract
-MIN_TEXTS = 5  # toxic texts of the sample in which an entry occurs at least
-MIN_LIFT = 20.0  # times as frequent among toxic texts as among others
+MIN_CONTEXTS = 8  # different words that follow an entry in toxic texts; copies of one text don't add to these
+MIN_LIFT = 3.0  # times as frequent in toxic texts as in others
+MIN_EXCESS = 8.0  # standard deviations above what other texts lead to expect
 STEM = (4, 9)  # letters of a stem
+ROOT = 3  # an entry is weighed against the words that start with its first letters
 FUZZY_LETTERS = 5  # shorter entries are matched exactly
 WINDOW = 6  # words on each side
 MEMO_WORDS = 400_000
 
 WORDS = re.compile(r"[^\W_]+(?:[@$!'*][^\W_]+)*")
+LETTERS = re.compile(r"[^\W_]+")
 QUOTE_OPENS, QUOTE_CLOSES = "\"“„«‹‘", "\"”“»›’"
-REPORTED = frozenset("said says wrote writes quote quoted quoting called calls term word cited reported sagte schrieb zitat dit écrit cité dijo escribió cita".split())
+REPORTED = frozenset("said says wrote writes quote quoted quoting cited reported sagte schrieb zitat dit écrit cité dijo escribió cita".split())
 
 
 @dataclass
@@ -121,6 +124,20 @@ class Finder:
             if found:
                 yield found[0], found[1] > 0, self._quoted(lower, spans, k)
 
+    def kinds(self, text: str | None) -> dict[str, tuple[int, int]]:
+        """Hits of each kind, and the words that share the entry's root (0 for misspelled and quoted ones); misspelled
+        hits of an entry are a kind of their own, "~entry"."""
+        hits: dict[str, int] = {}
+        for entry, misspelled, quoted in self.hits(text):
+            kind = "quoted" if quoted else "~" + entry if misspelled else entry
+            hits[kind] = hits.get(kind, 0) + 1
+        if not hits:
+            return {}
+        roots: dict[str, int] = {}
+        for w in WORDS.findall((text or "").lower()):
+            roots[w[:ROOT]] = roots.get(w[:ROOT], 0) + 1
+        return {k: (n, 0 if k == "quoted" or k[0] == "~" else roots.get(k[:ROOT], 0)) for k, n in hits.items()}
+
     @staticmethod
     def _quoted(body: str, spans: list[tuple[int, int]], k: int) -> bool:
         """Between quotation marks that open and close within the window, or after a word of reporting."""
@@ -133,38 +150,32 @@ class Finder:
 @dataclass(frozen=True)
 class ToxicModel:
     entries: tuple[tuple[str, bool], ...]
-    weights: dict[str, float]  # by entry, and of "misspelled" and "quoted" hits
+    weights: dict[str, float]  # of a text with such hits: by entry, misspelled entry ("~entry") and "quoted"
+    rates: dict[str, tuple[float, float]]  # by entry: its share of the words of its root, in toxic texts and in others
     base: float  # log-odds of a text without hits
 
-    def kind(self, entry: str, misspelled: bool, quoted: bool) -> str:
-        return "quoted" if quoted else "misspelled" if misspelled else entry
-
-    def score(self, kinds: dict[str, int]) -> float:
-        """kinds: hits of each kind. The strongest counts in full, the others add less and less."""
-        gains = sorted((self.weights.get(k, 0.0) for k in kinds), reverse=True)
-        total = self.base + sum(g / (1 + i) for i, g in enumerate(gains)) + 0.1 * log(max(1, sum(kinds.values())))
+    def gain(self, kind: str, hits: int, rooted: int) -> float:
+        """Log-odds from the mere presence, or from how many words of the root are hits, whichever says more."""
+        gain = self.weights.get(kind, 0.0)
+        if kind in self.rates:
+            toxic, other = self.rates[kind]
+            gain = max(gain, hits * log(toxic / other) + max(0, rooted - hits) * log((1 - toxic) / (1 - other)))
+        return gain
+
+    def score(self, kinds: dict[str, tuple[int, int]]) -> float:
+        """kinds: hits of each kind, and words of its root. The strongest counts in full, the others less and less."""
+        gains = sorted((self.gain(k, *n) for k, n in kinds.items()), reverse=True)
+        total = self.base + sum(g / (1 + i) for i, g in enumerate(gains))
         return 1.0 / (1.0 + exp(-max(-30.0, min(30.0, total))))
 
 
-def _kinds(hits) -> dict[str, int]:
-    kinds: dict[str, int] = {}
-    for entry, misspelled, quoted in hits:
-        kind = "quoted" if quoted else "misspelled" if misspelled else entry
-        kinds[kind] = kinds.get(kind, 0) + 1
-    return kinds
-
-
-def _entries(rows: list[tuple[str, bool, int, int]], n_toxic: int, n_other: int) -> list[tuple[str, bool]]:
-    """Of words and stems (text, is_stem, toxic texts, other texts): stems as long as they lose no text, words that no
-    stem covers."""
-    lift = lambda t, o: (t / max(1, n_toxic)) / ((o + 0.5) / max(1, n_other))
-    good = {(text, stem): t for text, stem, t, o in rows if t >= MIN_TEXTS and lift(t, o) >= MIN_LIFT}
-    stems = {text: t for (text, stem), t in good.items() if stem}
-    words = {text: t for (text, stem), t in good.items() if not stem}
-    # a stem that goes on with one letter only is not yet whole
-    whole = {s: t for s, t in stems.items() if not any(other[:-1] == s and m >= 0.95 * t for other, m in stems.items())}
-    # a stem is open if its texts have it with many endings
-    whole = {s: t for s, t in whole.items() if t > 1.3 * max((m for w, m in words.items() if w.startswith(s)), default=0)}
+def _chosen(rows: dict[tuple[str, bool], tuple[float, float]]) -> list[tuple[str, bool]]:
+    """Of words and stems (text, is_stem) with their excess and their hits in toxic texts: stems as long as they lose
+    little, stems with many endings, and words that no stem covers."""
+    stems = {text: n for (text, stem), n in rows.items() if stem}
+    words = {text: n for (text, stem), n in rows.items() if not stem}
+    whole = {s: n for s, n in stems.items() if not any(o[:-1] == s and m[0] >= 0.9 * n[0] for o, m in stems.items())}
+    whole = {s: n for s, n in whole.items() if n[1] > 1.3 * max((m[1] for w, m in words.items() if w.startswith(s)), default=0)}
     least = {s for s in whole if not any(s != o and s.startswith(o) for o in whole)}
     return sorted([(s, True) for s in least] + [(w, False) for w in words if not any(w.startswith(s) for s in least)])
 
@@ -185,25 +196,55 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     number = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = number.get(1, 0), number.get(0, 0)
 
-    words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("body", F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: F.char_length(w) >= STEM[0]))
-    terms = rows.select("toxic", words.alias("words")).select("toxic", "words", F.explode(F.array(*map(F.lit, (0, *range(STEM[0], STEM[1] + 1))))).alias("letters"))
-    cut = F.when(F.col("letters") == 0, F.col("words")).otherwise(
-        F.array_distinct(F.transform(F.filter("words", lambda w: F.char_length(w) >= F.col("letters")), lambda w: F.substring(w, F.lit(1), F.col("letters"))))
-    )
-    terms = terms.select("toxic", (F.col("letters") > 0).alias("is_stem"), F.explode(cut).alias("term"))
-    counted = terms.groupBy("term", "is_stem").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    likely = counted.where((F.col("t") >= MIN_TEXTS) & (F.col("t") * max(1, n_other) >= MIN_LIFT * (F.col("o") + 0.5) * max(1, n_toxic)))
+    words = F.filter(F.split(F.lower(F.coalesce("body", F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: F.char_length(w) >= ROOT)
+    t, o = F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")
+    of_word = stored(rows.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(t, o), "toxic-words")
+    all_t, all_o = of_word.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("o"), F.lit(0))).first()
+    lengths = F.filter(F.array(*map(F.lit, range(ROOT, STEM[1] + 1))), lambda n: n <= F.char_length("word"))
+    of_start = of_word.select("t", "o", "word", F.explode(lengths).alias("n")).groupBy(F.expr("substring(word, 1, n)").alias("term")).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    of_start = stored(of_start, "toxic-starts")
+    roots = of_start.where(F.char_length("term") == ROOT).select(F.col("term").alias("root"), F.col("t").alias("root_t"), F.col("o").alias("root_o"))
+    terms = of_start.withColumn("is_stem", F.lit(True)).unionByName(of_word.select(F.col("word").alias("term"), "t", "o", F.lit(False).alias("is_stem")))
+    terms = terms.where(F.char_length("term") >= STEM[0]).withColumn("root", F.substring("term", 1, ROOT)).join(roots, "root")
+    # what the other texts lead to expect: of all words, or of those with the same root
+    expected = F.greatest((F.col("o") + 0.5) * (all_t / max(1, all_o)), F.when(F.col("root_o") >= 20, (F.col("o") + 0.5) / (F.col("root_o") + 1) * F.col("root_t")).otherwise(0.0))
+    likely = terms.withColumn("e", expected).where((F.col("t") >= MIN_CONTEXTS) & (F.col("t") >= MIN_LIFT * F.col("e")) & (F.col("t") - F.col("e") >= MIN_EXCESS * F.sqrt(F.col("e") + 0.1)))
     # bounded by the sample; nearly all words of a text are too rare or as frequent elsewhere
-    entries = tuple(_entries([(r["term"], r["is_stem"], r["t"], r["o"]) for r in likely.collect()], n_toxic, n_other))
+    likely = {(r["term"], r["is_stem"]): r for r in likely.collect()}
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = set()
+            for body in batch.column(0).to_pylist():
+                words = LETTERS.findall((body or "").lower())
+                for word, following in zip(words, [*words[1:], ""], strict=True):
+                    if (word, False) in likely:
+                        out.add((word, False, following))
+                    out.update((word[:n], True, following) for n in range(STEM[0], STEM[1] + 1) if len(word) >= n and (word[:n], True) in likely)
+            columns = list(zip(*out, strict=True)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.string())], names=["term", "is_stem", "following"])
+
+    around = rows.where("toxic = 1").select("body").mapInArrow(contexts, "term string, is_stem boolean, following string")
+    varied = around.groupBy("term", "is_stem").agg(F.countDistinct("following").alias("n")).where(F.col("n") >= MIN_CONTEXTS)
+    sure = {}
+    for r in varied.collect():
+        key, e = (r["term"], r["is_stem"]), likely[r["term"], r["is_stem"]]["e"]
+        if r["n"] >= MIN_LIFT * e and r["n"] - e >= MIN_EXCESS * (e + 0.1) ** 0.5:
+            sure[key] = (likely[key]["t"] - e, likely[key]["t"])
+    entries = tuple(_chosen(sure))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(list(entries))
         for batch in batches:
-            out = [(k, t) for t, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k in _kinds(finder.hits(body))]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32())], names=["kind", "toxic"])
+            out = [(k, t, *n) for t, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, n in finder.kinds(body).items()]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(columns[k], pa.int32()) for k in (1, 2, 3))], names=["kind", "toxic", "hits", "rooted"])
 
-    seen = rows.select("toxic", "body").mapInArrow(run, "kind string, toxic int").groupBy("kind").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    found = {r["kind"]: (r["t"], r["o"]) for r in seen.collect()}  # at most a row per entry
+    seen = rows.select("toxic", "body").mapInArrow(run, "kind string, toxic int, hits int, rooted int").groupBy("kind").agg(
+        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"), F.sum(F.col("toxic") * F.col("hits")).alias("hits"), F.sum(F.col("toxic") * F.col("rooted")).alias("rooted")
+    )
+    seen = {r["kind"]: r for r in seen.collect()}  # at most a row per entry
+    found = {k: (r["t"], r["o"]) for k, r in seen.items()}
 
     def weight(kind: str, belief: float) -> float:
         """Log-odds of a text with such a hit against one without; `belief` is the share of toxic texts that have it if
@@ -211,13 +252,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
         t, o = found.get(kind, (0, 0))
         return max(0.0, log(((t + 10 * belief) / (n_toxic + 10)) / ((o + 0.1) / (n_other + 10))))
 
-    weights = {text: weight(text, 0.2) for text, _ in entries} | {"misspelled": weight("misspelled", 0.2)}
+    rates = {}
+    for key in entries:
+        r = likely[key]
+        if r["root_o"] >= 20 and key[0] in seen:
+            other = (r["o"] + 0.5) / (r["root_o"] + 1)
+            toxic = min(0.95, max(seen[key[0]]["hits"] / max(1, seen[key[0]]["rooted"]), MIN_LIFT * other))
+            if toxic > other:
+                rates[key[0]] = (toxic, min(other, 0.9))
+    weights = {text: weight(text, 0.2) for text, _ in entries} | {"~" + text: weight("~" + text, 0.2) for text, is_stem in entries if not is_stem}
     # quoted: half of what an ordinary hit says, until labelled texts say otherwise
     typical = float(np.median([weights[t] for t, _ in entries])) if entries else 0.0
     t, o = found.get("quoted", (0, 0))
     weights["quoted"] = 0.25 * typical if t + o < 10 else weight("quoted", 0.02)
     share = min(max(share or 0.0, 0.001), 0.5)
-    return ToxicModel(entries, weights, log(share / (1 - share)) - 1.0)
+    return ToxicModel(entries, weights, rates, log(share / (1 - share)) - 1.0)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text") -> DataFrame:
@@ -232,14 +281,14 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(list(model.entries))
         for batch in batches:
-            kinds = [_kinds(finder.hits(t)) for t in batch.column(len(rest)).to_pylist()]
+            kinds = [finder.kinds(t) for t in batch.column(len(rest)).to_pylist()]
             scores = np.array([model.score(k) for k in kinds], np.float64)
             columns = [
                 *(batch.column(k) for k in range(len(rest))),
                 pa.array(scores),
                 pa.array((scores >= THRESHOLD).astype(np.int32)),
-                pa.array([sum(k.values()) for k in kinds], pa.int64()),
-                pa.array([k.get("quoted", 0) for k in kinds], pa.int64()),
+                pa.array([sum(n for n, _ in k.values()) for k in kinds], pa.int64()),
+                pa.array([k.get("quoted", (0, 0))[0] for k in kinds], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, "score", "predicted", "n_hits", "n_quoted"])
 
