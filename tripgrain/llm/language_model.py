@@ -17,10 +17,12 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ DIMENSIONS = 16
 NOISE = 48
 BATCH = 8192
 RATE = 0.08
-HELD = 2_000_000  # tokens that a task trains on at a time
+PORTION = 2_000_000  # characters whose words a task holds at a time (one text at least)
 END = 0
 
 
@@ -71,7 +73,7 @@ class Vocabulary:
 
     def indices(self, words: list[bytes]) -> np.ndarray:
         get = self.index.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
 
     def classes_of(self, words: list[bytes], index: np.ndarray) -> np.ndarray:
         classes = self.word_class[index]  # -1 takes the last, and is put right below
@@ -200,6 +202,19 @@ def _sequence(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarr
     return first, second, target, split, index, ends
 
 
+def _portions(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about PORTION characters of the texts in column `at`."""
+    sizes = np.array([s or 0 for s in pc.binary_length(batch.column(at)).to_pylist()], np.int64)
+    start, held = 0, 0
+    for k, size in enumerate(sizes):
+        if held and held + size > PORTION:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """word, c: how often each word occurs, A-Z in lower case."""
     raw = docs.select(F.explode(words_of(F.col(text))).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("c"))
@@ -234,7 +249,7 @@ def fit_model(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Lo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = held.value
         trainer, seen = Trainer(LogBilinear.start(class_counts), class_counts, TaskContext.get().partitionId()), 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in _portions(whole, 0)):
             first, second, target, *_ = _sequence(v, batch.column(0).to_pylist())
             seen += len(target)
             order = trainer.dice.permutation(len(target))
@@ -286,7 +301,7 @@ def score_texts(docs: DataFrame, training, doc_id: str = "doc_id", text: str = "
         frequency = np.log10(v.counts + 0.5) if len(v.counts) else np.zeros(1)
         within = np.log10(v.buckets[:, 0] + 0.5 * (v.buckets[:, 1] + 1))  # all of a bucket
         in_bucket = v.word_class > WORDS
-        for batch in batches:
+        for batch in (part for whole in batches for part in _portions(whole, 1)):
             first, second, target, split, index, ends = _sequence(v, batch.column(1).to_pylist())
             lm = scorer.log_probability(first, second, target) / np.log(10)
             in_rest = target > WORDS
