@@ -59,30 +59,22 @@ def _report(name: str, source: Callable[[SparkSession, str], DataFrame] = enrich
 # --- checks ---------------------------------------------------------------------------------------------
 
 
-def _evidence(spark: SparkSession, d: str, gappy: bool = False, keep: str = "trips enriched") -> Evidence:
-    """`keep` names the stages that are stored once because the suite at hand looks at them several times."""
+def _evidence(spark: SparkSession, d: str, gappy: bool = False, store: bool = False) -> Evidence:
+    """`store` keeps the enriched trips, as the pipeline does; a suite on its own aggregates them where they are."""
     make, places = (b.gappy_trips, b.short_lookup) if gappy else (b.raw_trips, b.lookup)
     trips, lookup = make(spark, d, SPEC), places(spark, d)
-    if "trips" in keep:
-        trips = durable(trips.select(*SPEC.trip_columns), "trips")
     clean = clean_trips(trips, SPEC)
     columns = [*SPEC.trip_columns, "trip_duration_minutes", VALID, *LABELS, "pickup_date"]
     labelled = enrich(clean, lookup, SPEC).select(*columns)
-    if "enriched" in keep:
-        labelled = durable(labelled, "enriched")
-    return direct_evidence(SPEC, trips, clean, lookup, labelled)
-
-
-# the label suite aggregates the enriched trips once and stores that itself
-KEEP = {"checks_staging": "trips", "checks_enriched": "trips"}
+    return direct_evidence(SPEC, trips, clean, lookup, durable(labelled, "enriched") if store else labelled)
 
 
 def _suite(name: str, gappy: bool = False) -> Query:
-    return lambda spark, d: SUITES[name](_evidence(spark, d, gappy, KEEP.get(name, "enriched")))
+    return lambda spark, d: SUITES[name](_evidence(spark, d, gappy))
 
 
 def _all_check_rows(spark: SparkSession, d: str) -> DataFrame:
-    e = _evidence(spark, d)
+    e = _evidence(spark, d, store=True)
     place_hours = durable(trip_totals(e.enriched, SPEC, *PLACE_HOUR), "place-hours")
     routes = durable(trip_totals(e.enriched, SPEC, *ROUTE), "routes")
     marts = all_marts(place_hours, routes, SPEC)
@@ -229,7 +221,7 @@ def extract(spark: SparkSession, d: str) -> DataFrame:
 
 def evidence_json(spark: SparkSession, d: str) -> DataFrame:
     """Summary, check rows and reports as JSON lines, read back and counted."""
-    e = _evidence(spark, d)
+    e = _evidence(spark, d, store=True)
     place_hours = durable(trip_totals(e.enriched, SPEC, *PLACE_HOUR), "place-hours")
     routes = durable(trip_totals(e.enriched, SPEC, *ROUTE), "routes")
     marts = all_marts(place_hours, routes, SPEC)

@@ -68,7 +68,7 @@ def trips_of(spark):
 
 
 @pytest.fixture(scope="session")
-def places(spark):
+def places(spark, tmp_path_factory):
     """Six locations; 3 and 4 share a name and borough, 5 carries the literal label N/A."""
     rows = [
         (1, "Queens", "JFK Airport", "Airports"),
@@ -78,7 +78,9 @@ def places(spark):
         (5, "N/A", "Outside of NYC", "N/A"),
         (6, "Manhattan", "East Village", "Yellow Zone"),
     ]
-    return spark.createDataFrame(rows, WEEK.lookup_schema())
+    path = str(tmp_path_factory.mktemp("places") / "places")  # stored, so that its size is known
+    spark.createDataFrame(rows, WEEK.lookup_schema()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @pytest.fixture(scope="session")

@@ -10,8 +10,9 @@ from tripgrain.operators.checks import ChecksFailed, enforce
 from tripgrain.operators.enrich import enrich
 from tripgrain.operators.staging import clean_trips
 from tripgrain.operators.totals import trip_totals
+from tripgrain.plans import marts as marts_module
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.suites import SUITES, Evidence, all_checks, gate
+from tripgrain.plans.suites import SUITES, Evidence, all_checks, direct_evidence, expected_totals, gate
 from tripgrain.spec import TripSpec
 
 # The published names of the checks, for the default period, cap and ranking length.
@@ -44,7 +45,7 @@ def sound(trips_of, places, week_rows):
     staged = clean_trips(trips, WEEK).cache()
     enriched = enrich(staged, places, WEEK).cache()
     marts = {name: mart(name, enriched, WEEK).cache() for name in REPORTS}
-    return Evidence(WEEK, trips, staged, places, enriched, marts, lambda grain: trip_totals(enriched, WEEK, *grain))
+    return Evidence(WEEK, trips, staged, places, enriched, marts, lambda grain: expected_totals(enriched, WEEK, *grain))
 
 
 def changed(e, **parts):
@@ -157,7 +158,7 @@ def test_repeated_lookup_id_is_seen_as_fan_out(sound, places):
 def test_location_without_lookup_row(trips_of, places):
     staged = clean_trips(trips_of([trip(origin=99, dest=1), trip(origin=1, dest=98)]), WEEK)
     enriched = enrich(staged, places, WEEK)
-    e = Evidence(WEEK, staged, staged, places, enriched, {}, lambda grain: trip_totals(enriched, WEEK, *grain))
+    e = Evidence(WEEK, staged, staged, places, enriched, {}, lambda grain: expected_totals(enriched, WEEK, *grain))
     assert failed("checks_enriched", e) == [7, 8, 10, 11]
 
 
@@ -253,5 +254,40 @@ def test_no_trips_at_all_fails_rather_than_passes(trips_of, places):
     staged = clean_trips(trips_of([]), WEEK)
     enriched = enrich(staged, places, WEEK)
     marts = {name: mart(name, enriched, WEEK) for name in REPORTS}
-    e = Evidence(WEEK, staged, staged, places, enriched, marts, lambda grain: trip_totals(enriched, WEEK, *grain))
+    e = Evidence(WEEK, staged, staged, places, enriched, marts, lambda grain: expected_totals(enriched, WEEK, *grain))
     assert gate(all_checks(e)).first().verdict == "FAIL"
+
+
+# --- faults in the totals behind the reports ------------------------------------------------------------
+
+FAULTS = {
+    "a location is dropped": lambda t, keys: t,
+    "payments doubled": lambda t, keys: t.withColumn("payments", 2 * F.col("payments")),
+    "fares doubled": lambda t, keys: t.withColumn("fares", 2 * F.col("fares")),
+    "passengers lost": lambda t, keys: t.withColumn("passengers", F.col("passengers") - 1),
+    "a key is lost": lambda t, keys: t.where(F.col(keys[0]) != t.agg(F.min(keys[0])).first()[0]),
+}
+
+
+@pytest.mark.parametrize("fault", FAULTS)
+def test_a_fault_in_the_report_totals_fails_the_gate(sound, monkeypatch, fault):
+    """The expected side shares no code with the reports, so it does not make the same mistake."""
+
+    def broken(enriched, spec, *keys):
+        if fault == "a location is dropped":
+            enriched = enriched.where(F.col(spec.origin_id) != 3)
+        return FAULTS[fault](trip_totals(enriched, spec, *keys), keys)
+
+    monkeypatch.setattr(marts_module, "trip_totals", broken)
+    evidence = direct_evidence(WEEK, sound.trips, sound.staged, sound.lookup, sound.enriched)
+    wrong = all_checks(evidence).where("check_status <> 'PASS'")
+    assert gate(all_checks(evidence)).first().verdict == "FAIL"
+    suites = {r.suite for r in wrong.select("suite").distinct().collect()}
+    if fault in ("a location is dropped", "payments doubled"):
+        assert {"daily", "zones", "hourly", "zone_hourly", "routes", "presentation"} <= suites
+
+
+def test_expected_and_reported_totals_share_no_shuffle(sound):
+    evidence = direct_evidence(WEEK, sound.trips, sound.staged, sound.lookup, sound.enriched)
+    plan = SUITES["checks_daily"](evidence)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "ReusedExchange" in line and "BroadcastExchange" not in line]  # the lookup may be shared

@@ -99,9 +99,21 @@ def test_exact_sum_of_nulls_decimals_and_large_values(spark):
 
 
 def test_exact_sum_refuses_values_that_are_not_finite(spark):
-    df = spark.createDataFrame([(float("nan"),)], "x double")
-    with pytest.raises(Exception, match="(?i)overflow|cast"):
-        df.agg(exact_sum(df, "x")).collect()
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for setting in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", setting)
+            for value in (float("nan"), float("inf"), float("-inf"), 3e20):
+                df = spark.createDataFrame([(1.0,), (value,)], "x double")
+                with pytest.raises(Exception, match="can't be summed"):
+                    df.agg(exact_sum(df, "x")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+def test_exact_sum_keeps_small_values(spark):
+    df = spark.createDataFrame([(0.0000004,)] * 10, "x double")
+    assert df.agg(exact_sum(df, "x")).first()[0] == Decimal("0.000004")
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

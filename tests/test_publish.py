@@ -14,8 +14,8 @@ from tripgrain.operators.staging import clean_trips
 from tripgrain.operators.totals import trip_totals
 from tripgrain.plans import insights, published
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.refresh import read_enriched, run_refresh, write_enriched
-from tripgrain.session import durable, run_dir, shared_dir
+from tripgrain.plans.refresh import read_enriched, replace_period, run_refresh, write_enriched
+from tripgrain.session import drop_copies, durable, run_dir, shared_dir
 from tripgrain.sinks import contract_violations, read_csv_back, verified_extract, write_csv, write_evidence
 from tripgrain.spec import TripSpec
 from tripgrain.views import register_views
@@ -201,7 +201,7 @@ def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Unnamed)
     monkeypatch.setattr(Unnamed.sparkContext, "master", "local[2]")
-    assert shared_dir(Unnamed) == shared_dir(Unnamed) and os.path.isdir(shared_dir(Unnamed))
+    assert shared_dir(Unnamed) == "spark-warehouse/_checkpoints"
 
 
 # --- views and refresh ----------------------------------------------------------------------------------
@@ -237,16 +237,39 @@ def test_refresh_stops_before_publishing_when_a_check_fails(trips_of, places, we
     out = str(tmp_path / "out")
     with pytest.raises(ChecksFailed, match="null pickup zone"):
         run_refresh(trips_of([*week_rows, trip(origin=99)]), places, WEEK, out)
-    assert os.listdir(out) == ["enriched"]
+    assert [d for d in os.listdir(out) if "unchecked" not in d] == []
+
+
+def test_a_failed_refresh_leaves_the_former_table(spark, trips_of, places, week_rows, tmp_path):
+    out = str(tmp_path / "out")
+    run_refresh(trips_of(week_rows), places, WEEK, out)
+    before = sorted(map(str, read_enriched(spark, f"{out}/enriched", WEEK).collect()))
+    with pytest.raises(ChecksFailed):
+        run_refresh(trips_of([*week_rows, trip(origin=99)]), places, WEEK, out)
+    assert sorted(map(str, read_enriched(spark, f"{out}/enriched", WEEK).collect())) == before
+
+
+def test_copies_are_removed(spark, trips_of):
+    durable(trips_of([trip()]), "x")
+    mine = f"{shared_dir(spark)}/tripgrain/{spark.sparkContext.applicationId}"
+    assert os.listdir(mine)
+    drop_copies(spark)
+    assert not os.path.exists(mine)
 
 
 def test_enriched_table_is_replaced_per_date(spark, trips_of, places, tmp_path):
-    path = str(tmp_path / "enriched")
+    path, new = str(tmp_path / "enriched"), str(tmp_path / "new")
     wide = TripSpec(period_start=datetime(2026, 1, 5), period_end=datetime(2026, 1, 19))
     first = [trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")]
-    write_enriched(trips_of(first), places, wide, path)
+    write_enriched(trips_of(first), places, wide, new)
+    replace_period(spark, new, path, wide)
     again = [trip(), trip(), trip()]
-    write_enriched(trips_of(again), places, WEEK, path)
+    write_enriched(trips_of(again), places, WEEK, new)
+    replace_period(spark, new, path, WEEK)
     assert spark.read.parquet(path).count() == 4
     assert read_enriched(spark, path, WEEK).count() == 3
     assert read_enriched(spark, path, wide).count() == 4
+    # a date that has lost its last trip is not kept
+    write_enriched(trips_of([trip("2026-01-06 10:00:00", "2026-01-06 10:30:00")]), places, WEEK, new)
+    replace_period(spark, new, path, WEEK)
+    assert read_enriched(spark, path, WEEK).count() == 1

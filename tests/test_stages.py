@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tripgrain.operators.enrich import enrich
 from tripgrain.operators.staging import clean_trips
+from tripgrain.plans.marts import mart
 from tripgrain.sources import bounded, read_lookup, read_trips, require_columns
 from tripgrain.sinks import write_csv
 from tripgrain.spec import TripSpec
@@ -127,10 +128,26 @@ def test_zoned_times_are_taken_as_wall_clock(spark, trips_of):
 
 def test_broadcast_only_within_the_bound(places):
     assert "ResolvedHint" in places.sparkSession.createDataFrame([(1,)], "x int").hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in bounded(places, 6)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in bounded(places)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in bounded(places, 5)._jdf.queryExecution().analyzed().toString()
 
 
+def test_declaring_a_report_runs_no_job(spark, trips_of, places):
+    trips = trips_of([trip()])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("declare", "")
+    try:
+        mart("daily_demand_revenue", enrich(clean_trips(trips, WEEK), places, WEEK), WEEK)
+        assert not list(tracker.getJobIdsForGroup("declare"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_spec_refuses_a_period_that_is_not_whole_days():
+    with pytest.raises(ValueError, match="midnight"):
+        TripSpec(period_start=moment("2026-01-05 06:00:00"), period_end=moment("2026-01-08"))
+
+
 def test_spec_refuses_an_empty_period():
     with pytest.raises(ValueError):
         TripSpec(period_start=moment("2026-01-05"), period_end=moment("2026-01-05"))

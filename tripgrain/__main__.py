@@ -10,7 +10,7 @@ import argparse
 from datetime import datetime
 
 from tripgrain.plans.refresh import run_refresh
-from tripgrain.session import build_session
+from tripgrain.session import build_session, drop_copies
 from tripgrain.sources import read_lookup, read_trips
 from tripgrain.spec import TripSpec
 
@@ -28,10 +28,13 @@ def main() -> None:
 
     spec = TripSpec(period_start=args.start, period_end=args.end, period_name=args.name)
     spark = build_session("trip-refresh")
-    result = run_refresh(read_trips(spark, args.trips, spec), read_lookup(spark, args.lookup, spec), spec, args.out)
-    print(f"{result.checks.count()} checks passed")
-    result.summary.show(truncate=False)
-    spark.stop()
+    try:
+        result = run_refresh(read_trips(spark, args.trips, spec), read_lookup(spark, args.lookup, spec), spec, args.out)
+        print(f"{result.checks.count()} checks passed")
+        result.summary.show(truncate=False)
+    finally:
+        drop_copies(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

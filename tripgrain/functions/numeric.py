@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Decimal places kept when a floating-point measure is summed.
-SUM_SCALE = 6
-STEP = f"{10**-SUM_SCALE:.{SUM_SCALE}f}"
-EXACT = f"decimal(27,{SUM_SCALE})"
+# What a floating-point measure is summed as: a double of a cent or more keeps all its digits.
+EXACT = "decimal(38,18)"
 
 
 def as_double(c: Column) -> Column:
@@ -32,19 +30,18 @@ def exact_sum(df: DataFrame, name: str) -> Column:
     """SUM that does not depend on the order in which partitions arrive.
 
     Floating-point addition is not associative, so a retried task could change the last digits of a
-    published total or tip a rounded mean over a tie. A double is therefore summed as two longs, its whole
-    part and its millionths, which stays cheap in generated code; the decimal is put together once per
-    group. Decimals and integers sum natively. Nulls are skipped and an all-null group gives null. A value
-    that is not finite raises an error instead of giving a wrong total.
+    published total or tip a rounded mean over a tie. A double is therefore summed as a decimal with 18
+    places. Decimals and integers sum natively. Nulls are skipped and an all-null group gives null. NaN, an
+    infinity, or 1e20 and more raise an error, whatever the ANSI setting: a total that leaves them out, or
+    that no longer tells anything, would be published as if it were sound.
     """
     kind = df.schema[name].dataType
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.sum(name)
-    whole = f"floor(`{name}`)"
-    millionths = f"cast(rint((`{name}` - {whole}) * {10**SUM_SCALE}D) AS bigint)"
-    return F.expr(
-        f"cast(cast(sum({whole}) AS {EXACT}) + cast(sum({millionths}) AS decimal(20,0)) * {STEP}BD AS {EXACT})"
-    )
+    value = F.col(f"`{name}`")
+    fits = F.abs(value) < F.lit(1e20)  # false for infinity; NaN is greater than any number
+    refused = F.raise_error(F.concat(F.lit(f"{name} can't be summed: "), value.cast("string"))).cast(EXACT)
+    return F.sum(F.when(value.isNull() | fits, value.cast(EXACT)).otherwise(refused))
 
 
 def mean(c: Column, over: Column | None = None) -> Column:

@@ -142,7 +142,7 @@ def priority_windows(totals: DataFrame, spec: TripSpec) -> DataFrame:
     hours = cells.groupBy("origin_id", "pickup_hour").agg(F.sum("trips").alias("hour_trips"))
     # `zones` holds at most spec.priority_zones rows, so only their hours are ranked. The null-safe join
     # puts no filter on the hours side, which keeps its shuffle the same as that of the zones side.
-    listed = null_safe_join(hours, F.broadcast(zones), ["origin_id"]).select(
+    listed = null_safe_join(hours, zones, ["origin_id"]).select(
         "zone_rank", "b.origin_id", "pickup_zone", "pickup_hour", "hour_trips", "monthly_trips"
     )
     peaks = first_in(

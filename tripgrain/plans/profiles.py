@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import round_to
+from tripgrain.functions.numeric import exact_sum, ratio, round_to
 from tripgrain.operators.staging import in_period, wall_clock
 from tripgrain.spec import TripSpec
 
@@ -29,8 +29,8 @@ def profile_raw(trips: DataFrame, spec: TripSpec) -> DataFrame:
         F.count(F.lit(1)).alias("total_trips"),
         F.min(spec.pickup_ts).alias("earliest_pickup"),
         F.max(spec.pickup_ts).alias("latest_pickup"),
-        round_to(F.avg(spec.distance), 2).alias("avg_trip_distance"),
-        round_to(F.avg(spec.total), 2).alias("avg_amount"),
+        round_to(ratio(exact_sum(trips, spec.distance), F.count(spec.distance)), 2).alias("avg_trip_distance"),
+        round_to(ratio(exact_sum(trips, spec.total), F.count(spec.total)), 2).alias("avg_amount"),
     )
 
 

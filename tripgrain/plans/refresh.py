@@ -9,6 +9,7 @@ reaches, so a lost executor costs its running tasks, not the steps before.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -21,7 +22,7 @@ from tripgrain.operators.staging import VALID, clean_trips, in_period
 from tripgrain.operators.totals import PLACE_HOUR, ROUTE, trip_totals
 from tripgrain.plans import published
 from tripgrain.plans.marts import all_marts
-from tripgrain.plans.suites import Evidence, all_checks
+from tripgrain.plans.suites import Evidence, all_checks, expected_totals
 from tripgrain.session import durable
 from tripgrain.sinks import contract_violations, verified_extract, write_csv, write_evidence
 from tripgrain.spec import TripSpec
@@ -49,32 +50,49 @@ def gathered(trips: DataFrame, spec: TripSpec) -> DataFrame:
 
 
 def write_enriched(trips: DataFrame, lookup: DataFrame, spec: TripSpec, path: str) -> None:
-    """Write the enriched trips of the spec's period, partitioned by pickup date.
-
-    Overwriting is per partition: a rerun for a period replaces only that period's dates. (A stored date
-    that lost its last trip is not replaced; the count check of the enriched suite then stops the refresh.)
-    """
+    """Write the enriched trips of the spec's period to a new folder, partitioned by pickup date."""
     (
         enrich(clean_trips(gathered(trips, spec), spec), lookup, spec)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("errorifexists")
         .partitionBy("pickup_date")
         .parquet(path)
     )
 
 
+def replace_period(spark: SparkSession, new: str, path: str, spec: TripSpec) -> None:
+    """Move the dates written to `new` into the table at `path`; the period's other dates there are removed, so a date
+    that has lost its last trip disappears. Only folders are moved. Each date is whole at any time; a run that is cut
+    off here is mended by the next one for the period."""
+    jvm = spark._jvm
+    here = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    files = here(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(here(path))
+    day = spec.period_start
+    while day < spec.period_end:
+        name = f"pickup_date={day.date()}"
+        if files.exists(here(path, name)):
+            files.delete(here(path, name), True)
+        if files.exists(here(new, name)) and not files.rename(here(new, name), here(path, name)):
+            raise RuntimeError(f"can't move {name} to {path}")
+        day += timedelta(days=1)
+    files.delete(here(new), True)
+
+
 def read_enriched(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
     """One period of a stored enriched table; other dates are pruned as partitions."""
     first, last = spec.period_start.date(), (spec.period_end - timedelta(microseconds=1)).date()
     dates = F.col("pickup_date").between(F.lit(first), F.lit(last))
-    return spark.read.parquet(path).where(dates & in_period(spec))
+    return spark.read.parquet(path).withColumn("pickup_date", F.col("pickup_date").cast("date")).where(dates & in_period(spec))
 
 
 def build(trips: DataFrame, lookup: DataFrame, spec: TripSpec, enriched_path: str) -> Refresh:
-    """Everything up to, but not including, publication. Raises if any check fails."""
+    """Everything up to, but not including, the exports. Raises if any check fails; the stored table of the enriched
+    trips is then as it was, since the new dates are checked in a folder of their own and moved in afterwards."""
+    spark = trips.sparkSession
     staged = clean_trips(trips, spec)
-    write_enriched(trips, lookup, spec, enriched_path)
-    enriched = read_enriched(trips.sparkSession, enriched_path, spec)
+    unchecked = f"{enriched_path}_unchecked_{uuid.uuid4().hex[:12]}"
+    write_enriched(trips, lookup, spec, unchecked)
+    enriched = read_enriched(spark, unchecked, spec)
 
     # Reports come from these totals; the checks aggregate the enriched table again.
     place_hours = durable(trip_totals(enriched, spec, *PLACE_HOUR), "report-place-hours")
@@ -84,6 +102,8 @@ def build(trips: DataFrame, lookup: DataFrame, spec: TripSpec, enriched_path: st
     checks = durable(all_checks(stored_evidence(spec, trips, staged, lookup, enriched, marts)), "checks")
     enforce(checks)
 
+    replace_period(spark, unchecked, enriched_path, spec)
+    enriched = read_enriched(spark, enriched_path, spec)
     summary = published.summary(place_hours, marts["zone_performance"], staged, spec)
     datasets = {name: marts[name] for name in published.ORDER if name in marts}
     datasets["priority_table"] = published.priority_table(marts["priority_windows"])
@@ -109,7 +129,7 @@ def stored_evidence(
         by_route = grain == ROUTE
         if by_route not in stored:
             keys = ROUTE if by_route else PLACE_HOUR
-            stored[by_route] = durable(trip_totals(enriched, spec, *keys), "evidence")
+            stored[by_route] = durable(expected_totals(enriched, spec, *keys), "evidence")
         return stored[by_route]
 
     return Evidence(spec, trips, staged, lookup, enriched, marts, totals)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +30,19 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; a temporary one only in local mode where it is unset."""
+    """The folder named by `spark.checkpoint.dir`; in local mode, where it is unset, one below the warehouse."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not named and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tripgrain-")
-    return _LOCAL_DIRS[context.applicationId]
+    return (named or spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse") + "/_checkpoints").rstrip("/")
+
+
+def drop_copies(spark: SparkSession) -> None:
+    """Remove what `durable` has stored for this application; frames that read it are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tripgrain/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

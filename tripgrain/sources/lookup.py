@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tripgrain.spec import TripSpec
 
-# Some hundred locations are usual. A row is an ID and two short labels, so this is a few MB at most.
-BROADCAST_ROWS = 50_000
+# Some hundred locations are usual: some kilobytes.
+BROADCAST_BYTES = 8 << 20
 
 
 def read_lookup(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
@@ -16,11 +16,11 @@ def read_lookup(spark: SparkSession, path: str, spec: TripSpec) -> DataFrame:
     return spark.read.schema(spec.lookup_schema()).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after seeing that there are at most `rows` rows.
+def bounded(small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the optimizer's estimate of the size is at most `limit` bytes; no job is run.
 
-    A larger table is returned unhinted: the join then runs as a sort-merge join, where the adaptive
-    skew rule splits a location that holds a large share of the trips.
+    A larger table, or one of unknown size, is returned unhinted: Spark then compares what it measures with its
+    own threshold, and in a sort-merge join the adaptive skew rule splits a location with many trips.
     """
-    seen = len(small.select(F.lit(1)).take(rows + 1))
-    return F.broadcast(small) if seen <= rows else small
+    size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(small) if size <= limit else small

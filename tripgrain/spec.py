@@ -59,6 +59,8 @@ class TripSpec:
     def __post_init__(self):
         if self.period_end <= self.period_start:
             raise ValueError("period_end must be later than period_start")
+        if any(t != t.replace(hour=0, minute=0, second=0, microsecond=0) for t in (self.period_start, self.period_end)):
+            raise ValueError("the period must start and end at midnight: reports count whole calendar days")
 
     @property
     def calendar_days(self) -> int:
