@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripgrain.session import shared_dir
+
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Fixed by the contracts: a word is a run of characters other than these six.
@@ -15,12 +17,6 @@ WORD_GAP = "[\\x20\\x09-\\x0D]+"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`; where that is unset, one below the warehouse, which is shared as well."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints").rstrip("/")
-
-
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
