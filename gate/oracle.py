@@ -88,13 +88,15 @@ EVENT = ",".join((EVENT_TRIPS, PLACES, staged(EVENT_PERIOD, 80), ENRICHED))
 
 # spellings used throughout
 MINUTES = "sum(trip_duration_minutes::DECIMAL(18,2))"
-MILES = "sum(distance::DECIMAL(18,6))"
+MILES = "sum(distance::VARCHAR::DECIMAL(38,18))"
 CATEGORY = "CASE WHEN origin_id = dest_id THEN 'Same-Zone' ELSE 'Cross-Zone' END"
 HOUR = "hour(pickup_ts)"
 
 
+# A double enters a sum with the digits of its shortest text, and a sum becomes the nearest double; both go through
+# text because the direct casts work on the binary value.
 def dbl(x: str) -> str:
-    return f"CAST({x} AS DOUBLE)"
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
 
 
 def big(x: str) -> str:
@@ -103,21 +105,21 @@ def big(x: str) -> str:
 
 def avg_of(x: str) -> str:
     """Mean of the known values of a column holding exact sums."""
-    return f"CAST(sum({x}) AS DOUBLE) / count({x})"
+    return f"CAST(CAST(sum({x}) AS VARCHAR) AS DOUBLE) / count({x})"
 
 
 # --- reports: name -> (extra common table expressions, final select) -------------------------------------
 
 DAILY = f"""
-SELECT pickup_date, count(*) AS daily_trip_count, {dbl("sum(fare_amount::DECIMAL(18,6))")} AS total_metered_fares,
-       {dbl("sum(total_amount::DECIMAL(18,6))")} AS total_passenger_amount_paid, {big("sum(party_size)")} AS total_passengers,
+SELECT pickup_date, count(*) AS daily_trip_count, {dbl("sum(fare_amount::VARCHAR::DECIMAL(38,18))")} AS total_metered_fares,
+       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS total_passenger_amount_paid, {big("sum(party_size)")} AS total_passengers,
        avg(party_size) AS avg_passenger_amount
 FROM enriched GROUP BY ALL"""
 
 ZONES = f"""
 SELECT pickup_zone, pickup_borough, count(*) AS total_trip_count,
-       round({dbl("sum(fare_amount::DECIMAL(18,6))")}, 2) AS total_metered_fares,
-       round({dbl("sum(total_amount::DECIMAL(18,6))")}) AS total_passenger_amount_paid,
+       round({dbl("sum(fare_amount::VARCHAR::DECIMAL(38,18))")}, 2) AS total_metered_fares,
+       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")}) AS total_passenger_amount_paid,
        {big("sum(party_size)")} AS total_passengers, round(avg(party_size), 2) AS avg_passenger_per_trip
 FROM enriched GROUP BY pickup_zone, pickup_borough"""
 
@@ -133,13 +135,13 @@ SELECT h AS pickup_hour, count(*) AS days_observed, {big("sum(n)")} AS total_tri
        round({dbl("sum(d)")} / sum(n)::DOUBLE, 2) AS avg_trip_distance_miles,
        round({dbl("sum(m)")} / sum(n)::DOUBLE, 2) AS avg_trip_duration_minutes
 FROM (SELECT pickup_date, {HOUR} AS h, count(*) AS n, count(party_size) AS r, sum(party_size) AS p,
-             sum(fare_amount::DECIMAL(18,6)) AS f, sum(total_amount::DECIMAL(18,6)) AS t, {MILES} AS d, {MINUTES} AS m
+             sum(fare_amount::VARCHAR::DECIMAL(38,18)) AS f, sum(total_amount::VARCHAR::DECIMAL(38,18)) AS t, {MILES} AS d, {MINUTES} AS m
       FROM enriched GROUP BY 1, 2)
 GROUP BY h"""
 
 ZONE_HOUR_DETAIL = f"""
 SELECT pickup_date, {HOUR} AS pickup_hour, count(*) AS trips_in_hour, pickup_borough, pickup_zone,
-       {big("sum(party_size)")} AS hourly_passenger_count, {dbl("sum(total_amount::DECIMAL(18,6))")} AS hourly_passenger_amount,
+       {big("sum(party_size)")} AS hourly_passenger_count, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS hourly_passenger_amount,
        {dbl(MILES)} AS hourly_trip_distance, {dbl(MINUTES)} AS hourly_trip_duration_minutes
 FROM enriched GROUP BY ALL"""
 
@@ -151,19 +153,19 @@ SELECT h AS pickup_hour_of_the_day, pickup_zone, pickup_borough,
        round({avg_of("d")}) AS avg_trip_miles_per_active_day,
        round({avg_of("m")}) AS avg_trip_minutes_per_active_day
 FROM (SELECT pickup_date, {HOUR} AS h, pickup_zone, pickup_borough, count(*) AS n, sum(party_size) AS p,
-             sum(total_amount::DECIMAL(18,6)) AS t, {MILES} AS d, {MINUTES} AS m
+             sum(total_amount::VARCHAR::DECIMAL(38,18)) AS t, {MILES} AS d, {MINUTES} AS m
       FROM enriched GROUP BY 1, 2, 3, 4)
 GROUP BY ALL"""
 
 ROUTE_TOTALS = f"""
 SELECT pickup_zone, dropoff_zone, {CATEGORY} AS route_category, count(*) AS route_total_trips,
-       {dbl("sum(total_amount::DECIMAL(18,6))")} AS route_total_amount, {dbl(MINUTES)} AS route_total_trip_duration,
+       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS route_total_amount, {dbl(MINUTES)} AS route_total_trip_duration,
        {dbl(MILES)} AS route_total_trip_distance
 FROM enriched GROUP BY ALL"""
 
 ROUTE_AVERAGES = f"""
 SELECT pickup_zone, dropoff_zone, {CATEGORY} AS route_category, count(*) AS route_total_trips,
-       round({dbl("sum(total_amount::DECIMAL(18,6))")} / count(*), 2) AS avg_route_amount,
+       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} / count(*), 2) AS avg_route_amount,
        round({dbl(MILES)} / count(*), 2) AS avg_route_trip_distance,
        round({dbl(MINUTES)} / count(*)) AS avg_route_trip_duration
 FROM enriched GROUP BY ALL"""
@@ -187,15 +189,15 @@ PRIORITY = priority(365.0)
 
 SEGMENTS = f"""
 SELECT CASE origin_id WHEN 3 THEN 'Hub three' WHEN 8 THEN 'Hub eight' ELSE 'Other origins' END AS pickup_segment,
-       count(*) AS total_trips, round({avg_of("total_amount::DECIMAL(18,6)")}, 2) AS avg_recorded_payment_usd,
+       count(*) AS total_trips, round({avg_of("total_amount::VARCHAR::DECIMAL(38,18)")}, 2) AS avg_recorded_payment_usd,
        round({dbl(MINUTES)} / count(trip_duration_minutes), 2) AS avg_trip_minutes,
        round({dbl(MILES)} / count(distance), 2) AS avg_trip_miles,
-       round({dbl("sum(total_amount::DECIMAL(18,6))")}, 2) AS total_recorded_payment_usd
+       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")}, 2) AS total_recorded_payment_usd
 FROM enriched GROUP BY 1"""
 
 SUMMARY = f"""
-SELECT count(*) AS eligible_trips, {dbl("sum(total_amount::DECIMAL(18,6))")} AS recorded_payments,
-       {avg_of("total_amount::DECIMAL(18,6)")} AS avg_payment, {dbl(MINUTES)} / count(trip_duration_minutes) AS avg_minutes,
+SELECT count(*) AS eligible_trips, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS recorded_payments,
+       {avg_of("total_amount::VARCHAR::DECIMAL(38,18)")} AS avg_payment, {dbl(MINUTES)} / count(trip_duration_minutes) AS avg_minutes,
        count(*) - count(party_size) AS missing_passenger_count,
        (SELECT count(*) FROM staged) AS period_source_trips,
        100.0 * (SELECT sum(n)::DOUBLE FROM (SELECT count(*) AS n FROM enriched GROUP BY pickup_zone, pickup_borough
@@ -286,7 +288,7 @@ w AS (
 
 TOTALS = f"""
 src AS (
-  SELECT count(*) AS src_n, sum(fare_amount::DECIMAL(18,6)) AS src_f, sum(total_amount::DECIMAL(18,6)) AS src_t, sum(party_size) AS src_p,
+  SELECT count(*) AS src_n, sum(fare_amount::VARCHAR::DECIMAL(38,18)) AS src_f, sum(total_amount::VARCHAR::DECIMAL(38,18)) AS src_t, sum(party_size) AS src_p,
          {MILES} AS src_d, {MINUTES} AS src_m, count_if(origin_id = dest_id) AS src_same,
          count_if(origin_id <> dest_id) AS src_cross, min(pickup_date) AS first_date, max(pickup_date) AS last_date,
          count(DISTINCT pickup_date) AS src_dates, count(DISTINCT (pickup_zone, pickup_borough)) AS src_zones,
@@ -296,7 +298,7 @@ src AS (
 
 
 def money(x: str) -> str:
-    return f"sum({x}::DECIMAL(18,6))"
+    return f"sum({x}::VARCHAR::DECIMAL(38,18))"
 
 
 DAILY_CHECKS = (
@@ -355,7 +357,7 @@ own AS (SELECT count(*) AS n, count(DISTINCT pickup_hour) AS k, sum(total_trips)
                sum(total_reported_passengers) AS p, {money("total_metered_fares")} AS f,
                {money("total_passenger_amount")} AS t FROM mart),
 direct AS (SELECT {HOUR} AS pickup_hour, count(DISTINCT pickup_date) AS days, count(*) AS trips,
-                  count(party_size) AS reported, {dbl("sum(total_amount::DECIMAL(18,6))")} AS t, {dbl(MILES)} AS d, {dbl(MINUTES)} AS m
+                  count(party_size) AS reported, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS t, {dbl(MILES)} AS d, {dbl(MINUTES)} AS m
            FROM enriched GROUP BY 1),
 bad AS (SELECT count_if((days_observed, avg_daily_trips, passenger_count_coverage_pct, avg_passenger_amount_per_trip,
                          avg_trip_distance_miles, avg_trip_duration_minutes)
@@ -656,7 +658,7 @@ QUALIFY row_number() OVER (PARTITION BY pickup_hour_of_the_day ORDER BY {ACTIVE}
         MAIN,
         f"""
 SELECT pickup_segment, avg_recorded_payment_usd,
-       (SELECT round({avg_of("total_amount::DECIMAL(18,6)")}, 2) FROM enriched) AS all_trips_payment_usd, avg_trip_minutes,
+       (SELECT round({avg_of("total_amount::VARCHAR::DECIMAL(38,18)")}, 2) FROM enriched) AS all_trips_payment_usd, avg_trip_minutes,
        (SELECT round({dbl(MINUTES)} / count(trip_duration_minutes), 2) FROM enriched) AS all_trips_minutes
 FROM ({SEGMENTS})""",
     ),
@@ -692,8 +694,8 @@ SELECT pickup_zone, count(l_orderkey) AS trips, count(l_orderkey) - count(DISTIN
         GAPPY,
         f"""
 SELECT pickup_borough, count(*) FILTER (origin_id = dest_id) AS same_zone_trips,
-       {dbl("sum(total_amount::DECIMAL(18,6)) FILTER (origin_id = dest_id)")} AS same_zone_amount,
-       {dbl("sum(total_amount::DECIMAL(18,6)) FILTER (coalesce(origin_id <> dest_id, TRUE))")} AS cross_zone_amount,
+       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18)) FILTER (origin_id = dest_id)")} AS same_zone_amount,
+       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18)) FILTER (coalesce(origin_id <> dest_id, TRUE))")} AS cross_zone_amount,
        {big("sum(party_size) FILTER (distance > 40)")} AS far_party
 FROM enriched GROUP BY 1""",
     ),
