@@ -58,6 +58,7 @@ class Vocabulary:
     texts: int  # training texts, so the count of the end
     buckets: np.ndarray  # for each bucket: counts and number of its words
     word_class: np.ndarray  # by index
+    least: int  # words with this count or more are in the index
 
     @property
     def classes(self) -> int:
@@ -227,7 +228,15 @@ def _native_bucket(word):
 
 def fit_vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    # the highest count at which all words fit; each count has a word, so the FREQUENT highest counts suffice
+    levels = counts.groupBy("c").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("c")).limit(FREQUENT + 1).collect()
+    least, room = (levels[0]["c"] + 1 if levels else 1), FREQUENT
+    for level in levels:
+        room -= level["words"]
+        if room < 0:
+            break
+        least = level["c"]
+    top = counts.where(F.col("c") >= least).toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)  # at most FREQUENT rows
     words = [w.encode("utf-8", "surrogatepass") for w in top["word"]]
     own = counts.sparkSession.createDataFrame(pd.DataFrame({"word": top["word"][:WORDS], "own": True}), "word string, own boolean")
     rest = counts.join(F.broadcast(own), "word", "left_anti")  # WORDS rows
@@ -237,7 +246,7 @@ def fit_vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
         buckets[r["b"]] = r["n"], r["v"]
     word_class = np.array([k + 1 if k < WORDS else 1 + WORDS + bucket_of(w) for k, w in enumerate(words)] or [END], np.int64)
     counted = np.array(top["c"], np.float64)
-    return Vocabulary({w: k for k, w in enumerate(words)}, counted, int(totals["n"]) + texts, int(totals["v"]) + (texts > 0), texts, buckets, word_class)
+    return Vocabulary({w: k for k, w in enumerate(words)}, counted, int(totals["n"]) + texts, int(totals["v"]) + (texts > 0), texts, buckets, word_class, int(least))
 
 
 def fit_model(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> LogBilinear:
@@ -332,8 +341,7 @@ def score_texts(docs: DataFrame, training, doc_id: str = "doc_id", text: str = "
     scored = stored(rows.mapInArrow(run, schema), "text-scores")
     odd = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     # the frequent words are never looked up here, so their counts need not travel
-    least = float(vocabulary.counts[-1]) if len(vocabulary.counts) == FREQUENT else float("inf")
-    matched = odd.join(counts.where(F.col("c") <= least), "word", "left")
+    matched = odd.join(counts.where(F.col("c") < vocabulary.least), "word", "left")
     gain = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     extra = matched.groupBy("row").agg(F.sum(gain).alias("gain"), F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("known"))
     joined = scored.drop("rare").join(extra, "row", "left")
