@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripgrain.llm import decontaminate, html_text, language_model, packing, quality_model, quality_rules, simhash, token_store, toxicity, url_rules
+from tripgrain.llm import decontaminate, html_text, language_model, packing, quality_model, quality_rules, simhash, token_store, tokens, toxicity, url_rules
 from tripgrain.llm.queries import QUERIES, tokenizer_file
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -72,6 +72,20 @@ def test_url_rules_against_brute_force(spark):
 # --- 2: token store
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_remembered_pieces_change_no_id(monkeypatch, name):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 40)
+    monkeypatch.setattr(tokens, "MEMO_CHARS", 6)
+    coder, whole, dice = tokens.Encoder(tokenizer_file(name)), Tokenizer.from_file(tokenizer_file(name)), random.Random(8)
+    parts = [*SYLLABLES, "É", "straße", "ÿ", "İx", "e\u0301", "ŒUVRE", "don't", "'s", "12,3", "a|b", "<|endoftext|>", "$$$", "word.", "word,!", "x" * 50, "日本", "²", "\t", "\u00a0", "\n", "  "]
+    for _ in range(400):
+        text = dice.choice(["", " "]).join(dice.choice([" ", "", "\n"]) + dice.choice(parts) for _ in range(dice.randrange(25)))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert all(len(p) <= 6 for p in coder.memo)
+
+
 @pytest.mark.parametrize("ids", [[5], [7] * 3000, list(range(2500)), [0, 2**32 - 1] * 600, [DICE.randrange(50_000) if DICE.random() < 0.9 else DICE.randrange(2**32) for _ in range(4000)]])
 def test_blocks_round_trip(ids):
     starts, payload = token_store.pack_ids(np.array(ids, "<u4"))

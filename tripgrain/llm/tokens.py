@@ -2,48 +2,90 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
 
-MEMO_WORDS = 600_000  # pieces that a Python worker remembers; then it starts anew
+MEMO_WORDS = 600_000  # pieces that a Python worker remembers; then it starts anew, and keeps these until it does so again
 MEMO_CHARS = 48  # longer pieces are not remembered
 
 # A piece starts where a space or line break follows another character. Both tokenizers in use end a pre-token there,
 # so pieces can be encoded one by one; texts with other white space are encoded whole.
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​-‍⁠﻿]")
+# A word and the marks after it: both tokenizers end a pre-token between the two, and before the next word's space.
+# Latin-1 letters keep their number of bytes in lower case.
+WORD = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)\Z")
 
 
 class Encoder:
-    """Encodes whole texts. Most words repeat, so the ids of a piece are remembered."""
+    """Encodes whole texts. Most words repeat, so the ids of a piece are remembered; new words of a text are encoded
+    together, and the marks after a word apart from it."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
+        import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer, self.memo, self.older = Tokenizer.from_file(path), {}, {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes that an id stands for: one per character
+        for token, k in vocabulary.items():
+            self.sizes[k] = len(token.removesuffix(suffix))
+        self.space = int(self.sizes[self.tokenizer.encode(" a", add_special_tokens=False).ids].sum()) - 1  # of a space before a word
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Words, each a space and Latin letters: encoded as one text, then cut by the bytes that its ids stand for."""
+        import numpy as np
+
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) - 1 + self.space for w in words])
+        last = np.searchsorted(ends, wanted)
+        if not len(ends) or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
+            return self._plain(words)
+        raw, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not remembered, and of the parts they were made of."""
+        memo = self.memo
+        parts = {p: m.groups() for p in pieces if (m := WORD.match(p))}
+        words = [w for w in {w for w, _ in parts.values()} if w not in memo]
+        others = [p for p in {t for _, t in parts.values() if t}.union(p for p in pieces if p not in parts) if p not in memo]
+        found = dict(zip(words, self._words(words), strict=True))
+        found.update(zip(others, self._plain(others), strict=True))
+        for p, (word, marks) in parts.items():
+            if marks:
+                found[p] = b"".join([memo[x] if x in memo else found[x] for x in (word, marks)])
+        return found
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if OTHER_SPACE.search(text):
-            return self._plain([text])[0]
         pieces, memo = PIECE.findall(text), self.memo
-        new = [p for p in set(pieces) if p not in memo]
-        if not new:
-            return b"".join([memo[p] for p in pieces])
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-            new = list(set(pieces))
-        found = dict(zip(new, self._plain(new), strict=True))
-        ids = b"".join([memo[p] if p in memo else found[p] for p in pieces])
-        memo.update((p, v) for p, v in found.items() if len(p) <= MEMO_CHARS)
+        new, found = set(pieces).difference(memo), {}
+        if new:
+            if OTHER_SPACE.search("".join(new)):  # such a piece is never remembered
+                return self._plain([text])[0]
+            if len(memo) > MEMO_WORDS:  # start anew, but for what is met again
+                self.older, self.memo, new = memo, {}, set(pieces)
+                memo = self.memo
+            memo.update([(p, self.older[p]) for p in new if p in self.older])
+            found = self._new([p for p in new if p not in memo])
+            memo.update(found)
+        ids = b"".join(map(memo.__getitem__, pieces))
+        for p in found:
+            if len(p) > MEMO_CHARS:
+                del memo[p]
         return ids
 
 
