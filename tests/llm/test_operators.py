@@ -2,6 +2,7 @@
 columns with clashing names."""
 
 import collections
+import itertools
 import math
 import random
 import re
@@ -205,6 +206,38 @@ def test_leaks_are_found_with_substitutions(spark, docs, none):
     assert rows(decontaminate.find_leaks(none, items)) == [] and rows(decontaminate.find_leaks(df, items.where("false"))) == []
 
 
+def test_leaks_in_part_with_tokens_put_in_and_in_short_items(spark):
+    long, short, least, brief = prose(60, 500).split(), prose(15, 501).split(), prose(10, 502).split(), "one apple fell far down".split()
+    pad = lambda k: prose(30, 600 + k).split()
+    put_in = [*long[:27], "extra", *long[27:]]
+    texts = {
+        1: pad(1) + long[8:53] + pad(2),  # 45 of 60 tokens
+        2: pad(3) + put_in + pad(4),
+        3: pad(5) + long[:33] + long[34:] + pad(6),
+        4: pad(7) + long[:20] + ["new"] + long[21:40] + pad(8),
+        5: pad(9) + [w if k not in (3, 7, 11) else "new" for k, w in enumerate(short)] + pad(10),
+        6: pad(11) + [w if k not in (3, 6) else "new" for k, w in enumerate(least)] + pad(12),
+        7: pad(13) + ["one", "apple", "rolled", "far", "down"],
+        8: ["apple", "fell", "far", "down"],
+        9: pad(14) + long[:15] + pad(15) + long[45:] + pad(16),
+        10: pad(17) + ["one", "apple", "rolled", "far", "up"],
+    }
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    items = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate((long, short, least, brief))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in rows(decontaminate.find_leaks(df, items))}
+    assert set(got) == {(1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (6, 2), (7, 3), (8, 3)}
+    assert got[1, 0].overlap < 0.8 and got[2, 0].matched_tokens == got[3, 0].matched_tokens == 59 and got[8, 3]["at"] == -1
+
+
+@pytest.mark.parametrize("n", [*range(1, 17), 20])
+def test_some_seed_outlives_every_choice_of_allowed_edits(n):
+    edits = decontaminate.allowed_edits(n, 0.8)
+    q = decontaminate.piece_length(n, edits)
+    seeds = decontaminate.left_out(n, edits) if n < decontaminate.SHORT else [("1" * q, k * q) for k in range(edits + 1)]
+    places = [{at + k for k, bit in enumerate(mask) if bit == "1"} for mask, at in seeds]
+    assert max(map(max, places)) < n and all(any(not p & set(lost) for p in places) for lost in itertools.combinations(range(n), edits))
+
+
 # --- 6 and 7: classifiers
 
 

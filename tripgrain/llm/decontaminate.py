@@ -2,13 +2,21 @@
 
 A seed is a fixed mask over consecutive tokens; where it has 0 the token does not enter the hash, so a substituted
 token there goes unnoticed. Hashes of test items and of training texts are joined; each hit proposes a diagonal (text
-position less item position). On that diagonal the item and the text are compared token by token, and the pair
-is a leak if enough tokens agree.
+position less item position). Around that diagonal the item is aligned with the text in a band, so that diagonals
+next to each other, split by a token put in or left out, count together. The pair is a leak if the item as a whole
+agrees well enough, or if a long enough run of it does.
+
+Masks alone can miss an item with the edits that are allowed. So each item also has as many disjoint pieces as it may
+have edits, and one more: one of them is always untouched. Items of fewer than SHORT tokens have every choice of
+tokens left out instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
+from itertools import combinations
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +26,10 @@ from tripgrain.llm.common import stored
 # Two masks of weight 6: a stretch with one substitution in every seven tokens still has hits.
 MASKS = ("11101011", "1101001011")
 MIN_OVERLAP = 0.8
+MIN_RUN = 20  # so many tokens of an item in a row are a leak, whatever their share
+RUN_EDIT = 2  # tokens that an edit takes from a run's length
+SHORT, PIECE = 8, 4  # tokens of an item that is tried with every choice left out; of the largest piece of the others
+BAND = 16  # diagonals on each side at most; items of up to 80 tokens never have more edits at MIN_OVERLAP
 BROADCAST_HASHES = 4_000_000  # a hash takes 8 bytes; beyond this many the join shuffles
 
 
@@ -26,46 +38,103 @@ def tokens_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda t: t != "")
 
 
-def _seeds(tokens: Column, masks: Sequence[str]) -> list[Column]:
-    """Hash of every mask at every place; the number of the mask keeps their hashes apart."""
-    def at(mask: str, number: int) -> Column:
-        picked = [k for k, bit in enumerate(mask) if bit == "1"]
-        return F.when(
-            F.size(tokens) >= len(mask),
-            F.transform(F.sequence(F.lit(0), F.size(tokens) - len(mask)), lambda i: F.xxhash64(F.lit(number), *(F.get(tokens, i + k) for k in picked))),
-        ).otherwise(F.array().cast("array<bigint>"))
+def allowed_edits(n: int, min_overlap: float) -> int:
+    return max(0, n - ceil(min_overlap * n))
+
+
+def left_out(n: int, edits: int) -> list[tuple[str, int]]:
+    """mask, place: every choice of `edits` tokens of `n` left out, less what is left out at the ends."""
+    masks = ("".join("0" if k in holes else "1" for k in range(n)) for holes in combinations(range(n), edits))
+    return sorted({(m.strip("0"), m.index("1")) for m in masks if "1" in m})
+
+
+def piece_length(n: int, edits: int) -> int:
+    return max(1, min(PIECE, n // (edits + 1)))
+
 
-    return [at(mask, number) for number, mask in enumerate(masks)]
+def _hash(tokens: Column, mask: str, at: Column | int) -> Column:
+    """Of the mask at a place; the mask's number keeps the hashes of different masks apart."""
+    return F.xxhash64(F.lit(int(mask, 2)), *(F.get(tokens, at + F.lit(k)) for k, bit in enumerate(mask) if bit == "1"))
+
+
+def _seeds(tokens: Column, mask: str) -> Column:
+    """Hash of the mask at every place."""
+    places = F.sequence(F.lit(0), F.size(tokens) - len(mask))
+    return F.when(F.size(tokens) >= len(mask), F.transform(places, lambda i: _hash(tokens, mask, i))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _piece(tokens: Column, length: int, i: Column) -> Column:
+    """at, seed of the piece with this number."""
+    return F.struct((i * length).alias("at"), _hash(tokens, "1" * length, i * length).alias("seed"))
 
 
 def _exploded(df: DataFrame, keys: list[str], masks: Sequence[str]) -> DataFrame:
     """keys, seed, at: one row per mask and place of `tokens`."""
-    arrays = df.select(*keys, F.explode(F.array(*_seeds(F.col("tokens"), masks))).alias("seeds"))
+    arrays = df.select(*keys, F.explode(F.array(*(_seeds(F.col("tokens"), m) for m in masks))).alias("seeds"))
     return arrays.select(*keys, F.posexplode("seeds").alias("at", "seed"))
 
 
+def _let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _aligned(text: Column, item: Column, shift: Column, width: Column, run: bool) -> Column:
+    """Best alignment within `width` diagonals of `shift`. Of the whole item: its tokens that agree, less the tokens put
+    in between them. Of a run: its tokens that agree, less RUN_EDIT for each token replaced, left out or put in."""
+    replaced, put_in = (-RUN_EDIT, RUN_EDIT) if run else (0, 1)
+
+    def after(state: Column, i: Column) -> Column:
+        row = state["row"]
+
+        def on(x: Column, j: Column) -> Column:
+            same = F.coalesce(F.get(text, i + shift + j - width) == F.get(item, i), F.lit(False))
+            kept = F.greatest(x + F.when(same, 1).otherwise(replaced), F.get(row, j + 1) + replaced, *([F.lit(0)] if run else []))
+            return kept + j * put_in  # a diagonal reached from a lower one costs the tokens between them
+
+        ahead = _let(F.transform(row, on), lambda r: F.transform(r, lambda _, j: F.array_max(F.slice(r, F.lit(1), j + 1)) - j * put_in))
+        return _let(ahead, lambda r: F.struct(r.alias("row"), F.greatest(state["best"], F.array_max(r)).alias("best")))
+
+    start = F.struct(F.array_repeat(F.lit(0), 2 * width + 1).alias("row"), F.lit(0).alias("best"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), start, after, lambda state: state["best"] if run else F.array_max(state["row"]))
+
+
 def find_leaks(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", masks: Sequence[str] = MASKS, min_overlap: float = MIN_OVERLAP
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", masks: Sequence[str] = MASKS, min_overlap: float = MIN_OVERLAP,
+    min_run: int = MIN_RUN,
 ) -> DataFrame:
     """One row per text and test item found in it: doc_id, item_id, item_tokens, matched_tokens, overlap, at.
 
-    overlap: the largest share of the item's tokens that stand in the text at one and the same shift; a leak has
-    `min_overlap` or more. `at` is the first place of that shift (0-based token; negative if the item's head is cut).
-    Items shorter than the longest mask are compared whole: every token enters one hash.
+    matched_tokens: the item's tokens that stand in the text in their order, less the tokens put in between them; overlap:
+    their share of the item. A leak has an overlap of `min_overlap` or more, or a run of `min_run` tokens, from which each
+    token replaced, left out or put in takes RUN_EDIT. `at` is the first place of the diagonal with most agreement
+    (0-based token; negative if the item's head is cut).
+
+    Every item with at most 1 - `min_overlap` of its tokens replaced, left out or put in is found, up to 80 tokens; of
+    longer ones, alignments that drift at most BAND tokens, and runs.
 
     Null or empty texts and items never match. Repeated rows and ids: one row per pair of ids, the best of them. Rows
     with a null id are not reported. Other columns are not looked at.
     """
-    span = max(map(len, masks))
     tests = items.select(F.col(item_id).alias("item_id"), tokens_of(F.col(text)).alias("tokens")).where("item_id is not null and size(tokens) > 0").dropDuplicates()
     tests = stored(tests, "leak-items")
-    lengths = tuple(sorted(r[0] for r in tests.where(F.size("tokens") < span).select(F.size("tokens")).distinct().collect()))  # fewer than `span` values
     texts = docs.select(F.col(doc_id).alias("doc_id"), tokens_of(F.col(text)).alias("tokens")).where("doc_id is not null")
-    every = [*masks, *("1" * n for n in lengths)]
-    # an item too short for the masks has one hash of all its tokens, under a number of its own length
-    seeds = _exploded(tests.where(F.size("tokens") >= span), ["item_id"], masks)
-    for k, n in enumerate(lengths):
-        seeds = seeds.unionByName(_whole(tests, n, len(masks) + k))
+    size = F.size("tokens")
+    edits = F.greatest(F.lit(0), size - F.ceil(F.lit(float(min_overlap)) * size)).cast("int")
+    pieces = F.greatest(F.lit(1), F.least(F.lit(PIECE), F.floor(size / (edits + 1)))).cast("int")
+    # fewer than SHORT and PIECE values
+    lengths = sorted(r[0] for r in tests.where(size < SHORT).select(size).distinct().collect())
+    cuts = sorted(r[0] for r in tests.where(size >= SHORT).select(pieces).distinct().collect())
+    few_left = {n: left_out(n, allowed_edits(n, min_overlap)) for n in lengths}
+    every = list(dict.fromkeys([*masks, *("1" * q for q in cuts), *(m for n in lengths for m, _ in few_left[n])]))
+    seeds = _exploded(tests, ["item_id"], masks).select("item_id", "seed", "at")
+    for n in lengths:
+        table = F.array(*(F.struct(F.lit(at).alias("at"), _hash(F.col("tokens"), m, F.lit(at)).alias("seed")) for m, at in few_left[n]))
+        seeds = seeds.unionByName(tests.where(size == n).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
+    for q in cuts:
+        last = F.least(edits, F.floor(size / q).cast("int") - 1)
+        table = F.transform(F.sequence(F.lit(0), last), partial(_piece, F.col("tokens"), q))
+        seeds = seeds.unionByName(tests.where((size >= SHORT) & (pieces == q)).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
     seeds = stored(seeds.select("item_id", "seed", F.col("at").alias("item_at")).dropDuplicates(), "leak-seeds")
     known = stored(seeds.select("seed").distinct(), "leak-hashes")
     few = known.count() <= BROADCAST_HASHES
@@ -76,24 +145,30 @@ def find_leaks(
     )
     suspects = texts.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     t, u, shift = F.col("tokens"), F.col("item_tokens_list"), F.col("shift")
+    n = F.size(u)
     # get() gives null outside the text, which counts as a mismatch
-    matched = F.size(F.filter(F.sequence(F.lit(0), F.size(u) - 1), lambda i: F.coalesce(F.get(t, i + shift) == F.get(u, i), F.lit(False))))
+    straight = F.size(F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.get(t, i + shift) == F.get(u, i), F.lit(False))))
+    width = F.least(F.lit(BAND), n - F.ceil(F.lit(float(min_overlap)) * n)).cast("int")
+    width = F.greatest(F.lit(0), width)
+
+    def judged(c: Column) -> Column:
+        whole = F.when(c == n, c).otherwise(_aligned(t, u, shift, width, run=False))
+        return _let(whole, lambda w: F.struct(w.alias("matched"), c.alias("straight"), F.when((w >= min_overlap * n) | (n < min_run), 0).otherwise(_aligned(t, u, shift, width, run=True)).alias("run")))
+
     checked = (
         pairs.join(tests.select("item_id", F.col("tokens").alias("item_tokens_list")), "item_id")
         .join(suspects, "doc_id")
-        .select("doc_id", "item_id", F.size(u).alias("item_tokens"), matched.alias("matched_tokens"), shift.alias("at"))
+        .select("doc_id", "item_id", n.alias("item_tokens"), _let(straight, judged).alias("j"), shift.alias("at"))
     )
-    best = checked.where(F.col("matched_tokens") >= min_overlap * F.col("item_tokens")).groupBy("doc_id", "item_id").agg(
-        F.max(F.struct((F.col("matched_tokens") / F.col("item_tokens")).alias("overlap"), (-F.col("at")).alias("back"), "matched_tokens", "item_tokens")).alias("b")
+    # filtered after the aggregate: before it, Spark would align twice
+    best = checked.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct((F.col("j.matched") / F.col("item_tokens")).alias("overlap"), F.col("j.straight").alias("straight"), (-F.col("at")).alias("back"), F.col("j.matched").alias("matched_tokens"), "item_tokens")).alias("b"),
+        F.max("j.run").alias("run"),
     )
+    best = best.where((F.col("b.matched_tokens") >= min_overlap * F.col("b.item_tokens")) | (F.col("run") >= min_run))
     return best.select("doc_id", "item_id", "b.item_tokens", "b.matched_tokens", "b.overlap", (-F.col("b.back")).alias("at"))
 
 
-def _whole(tests: DataFrame, n: int, number: int) -> DataFrame:
-    whole = F.xxhash64(F.lit(number), *(F.get("tokens", F.lit(k)) for k in range(n)))
-    return tests.where(F.size("tokens") == n).select("item_id", F.lit(0).alias("at"), whole.alias("seed"))
-
-
 def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """`docs` less those with a leak; rows with a null id stay."""
     leaks = stored(find_leaks(docs, items, doc_id=doc_id, **options).select(F.col("doc_id").alias("leaked_id")).distinct(), "leaks")
