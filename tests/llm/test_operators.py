@@ -368,6 +368,14 @@ def test_html_main_text(spark):
     assert rows(html_text.extract_text(df.where("false"))) == []
 
 
+def test_copies_of_a_page_do_not_make_a_template(spark):
+    page = lambda k: f"<div class='box'>Same box</div><div><p>Own text {k}</p></div>"
+    data = [(k, "http://a.com/x", page(max(0, k - 299))) for k in range(310)] + [(900 + k, "http://b.com/x", page(k % 3)) for k in range(60)]
+    got = {r.page_id: r.text for r in rows(html_text.extract_text(spark.createDataFrame(data, "page_id long, url string, html string")))}
+    assert got[0] == got[299] == "Own text 0" and got[305] == "Own text 6"
+    assert got[900] == "Same box Own text 0"  # three pages of a host tell nothing
+
+
 # --- 10: simhash
 
 

@@ -145,31 +145,37 @@ def _walk(root: Node) -> Iterator[tuple[Node, str]]:
             todo += [(p, f"{path}/{p.style}") for p in node.parts if isinstance(p, Node)]
 
 
-def _styles(html: str | None) -> Iterator[tuple[str, int, int]]:
-    """path, hash of the children's styles, hash of the text: one row per path of a page."""
+def _styles(html: str | None) -> Iterator[tuple[int, str, int, int]]:
+    """hash of the whole page, path, hash of the children's styles, hash of the text: one row per path of a page. Pages
+    of one hash have the same text and the same paths."""
     from xxhash import xxh64_intdigest
 
     seen: dict[str, list] = {}
-    for node, path in _walk(parse(html or "")):
+    root = parse(html or "")
+    for node, path in _walk(root):
         entry = seen.setdefault(path, [[], []])
         entry[0].append(" ".join(dict.fromkeys(p.style for p in node.parts if isinstance(p, Node))))
         entry[1].append(text_of(node, lambda _: False))
     signed = lambda s: xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
-    for path, (styles, texts) in seen.items():
-        yield path, signed("|".join(styles)), signed("\n".join(texts))
+    nodes = sorted((path, signed("|".join(styles)), signed("\n".join(texts))) for path, (styles, texts) in seen.items())
+    page = signed(repr(nodes) + text_of(root, lambda _: False))
+    for node in nodes:
+        yield page, *node
 
 
 def site_style_tree(pages: DataFrame, host: str, html: str) -> DataFrame:
     """host, path, pages, entropy: 0 where all pages of the host agree, 1 where all differ; weighted over children's
-    styles and texts. Nodes on fewer than MIN_PAGES pages are left out."""
+    styles and texts. Pages that are copies of each other count as one. Nodes on fewer than MIN_PAGES pages are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(h, *s) for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for s in _styles(page)]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], names=["host", "path", "look", "words"])
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "page", "path", "look", "words"])
 
-    nodes = pages.select(host, html).mapInArrow(run, "host string, path string, look long, words long")
+    nodes = pages.select(host, html).mapInArrow(run, "host string, page long, path string, look long, words long")
+    nodes = nodes.groupBy("host", "page", "path").agg(F.first("look").alias("look"), F.first("words").alias("words"))
     kinds = F.array(F.struct(F.lit(PRESENTATION).alias("weight"), F.col("look").alias("value")), F.struct(F.lit(CONTENT).alias("weight"), F.col("words").alias("value")))
     counted = nodes.select("host", "path", F.explode(kinds).alias("k")).groupBy("host", "path", "k.weight", "k.value").agg(F.count(F.lit(1)).alias("n"))
     sums = counted.groupBy("host", "path", "weight").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
@@ -218,8 +224,8 @@ def main_text(html: str | None, repeated: frozenset[str] = frozenset()) -> str:
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """`pages` without the html and with `text` (empty if none) and `n_chars` (its code points).
 
-    Null html is empty. Null urls share the empty host. Repeated pages are extracted alike; they count as pages of their
-    host. Columns named like a result are replaced.
+    Null html is empty. Null urls share the empty host. Repeated pages are extracted alike; they count as one page of
+    their host. Columns named like a result are replaced.
     """
     rest = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
     hosted = pages.select(host_of(F.col(url)).alias("sst_host"), F.col(html).alias("sst_html"), *rest)
