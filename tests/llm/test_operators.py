@@ -376,6 +376,15 @@ def test_copies_of_a_page_do_not_make_a_template(spark):
     assert got[900] == "Same box Own text 0"  # three pages of a host tell nothing
 
 
+def test_entropy_of_many_pages_outweighs_any_role(spark):
+    page = lambda k: f"<nav>menu</nav><article class='post with-sidebar'><p class='own'>Teaser {k}</p><p class='legal'>Same on all</p></article><div id='content'><p>Long text {k}</p><p class='end'>End</p></div><aside>Side</aside>"
+    hosts = {"few": 6, "many": 600}
+    data = [(k, f"http://{h}.com/x", page(k)) for h, n in hosts.items() for k in range(n)]
+    got = {(r.url, r.page_id): r.text for r in rows(html_text.extract_text(spark.createDataFrame(data, "page_id long, url string, html string")))}
+    assert got["http://few.com/x", 5] == "Teaser 5 Same on all"  # the role decides
+    assert got["http://many.com/x", 5] == "Teaser 5 Long text 5"
+
+
 # --- 10: simhash
 
 

@@ -3,8 +3,8 @@
 The pages of a host are merged by their elements' paths (tag, class and id from the body down). For each node of that
 tree two entropies over the host's pages are taken: of the children's styles (presentation) and of the text (content).
 A branch that looks and reads alike on many pages carries little; one that differs carries the page's own text.
-The role of an element (tag, class, id, role) is the prior of its importance. Branches of low importance
-are cut from each page, and what is left is its text.
+The role of an element (tag, class, id, role) is the prior of its importance, and weighs less the more pages tell of
+it. Branches of low importance are cut from each page, and what is left is its text.
 
 The tree is gathered by counting (host, path, hash), so a host with a third of all pages is a few rows per task.
 """
@@ -16,17 +16,17 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.llm.common import stored
 from tripgrain.llm.url_rules import host_of
 
-ROLE_WEIGHT = 0.7  # of the prior; the rest is the entropy
 MIN_IMPORTANCE = 0.4
-MIN_PAGES = 8  # fewer pages of a host tell nothing about a node
+MIN_PAGES, MANY_PAGES = 8, 512  # fewer pages of a host tell nothing about a node; from so many on the prior weighs least
+ROLE_WEIGHT = 0.7, 0.3  # of the prior at MIN_PAGES and at MANY_PAGES, by the logarithm between; the rest is the entropy
 PRESENTATION, CONTENT = 0.3, 0.7
-LOW_ENTROPY = (MIN_IMPORTANCE - 0.5 * ROLE_WEIGHT) / (1 - ROLE_WEIGHT)  # below it a branch of no special role is cut
+ROLES = 0.0, 0.5, 1.0
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -34,7 +34,7 @@ RAW = frozenset("script style noscript template svg math iframe object canvas te
 BOILERPLATE = frozenset("nav footer header aside form menu dialog button head fieldset".split()) | RAW
 MAIN = frozenset("article main".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption".split()) | INLINE
-# Words of class, id or role names that tell of what is not the article.
+# Whole names of a class, id or role that tell of what is not the article.
 HINTS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments complementary contentinfo consent cookie cookies copyright disqus"
     " footer form header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted"
@@ -42,7 +42,6 @@ HINTS = frozenset(
 )
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-WORD = re.compile(r"[a-z]+")
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 CLOSES_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table body article section div main".split())
@@ -93,7 +92,7 @@ def parse(html: str) -> Node:
         style, hinted = tag, False
         if attributes:
             names = [(k.lower(), a or b or c) for k, a, b, c in NAMED.findall(attributes)]
-            hinted = any(w in HINTS for _, v in names for w in WORD.findall(v.lower()))
+            hinted = any(w in HINTS for _, v in names for w in v.lower().split())
             style = tag + "".join(f".{v}" for k, v in names if k == "class") + "".join(f"#{re.sub(r'[0-9]+', '0', v)}" for k, v in names if k == "id")
         node = Node(tag, style, hinted, at)
         at.parts.append(node)
@@ -141,8 +140,7 @@ def _walk(root: Node) -> Iterator[tuple[Node, str]]:
         if node.tag in INLINE or node.tag in VOID:
             continue
         yield node, path
-        if not (node.hinted or node.tag in BOILERPLATE):  # cut by its role; what it holds is not asked for
-            todo += [(p, f"{path}/{p.style}") for p in node.parts if isinstance(p, Node)]
+        todo += [(p, f"{path}/{p.style}") for p in node.parts if isinstance(p, Node)]
 
 
 def _styles(html: str | None) -> Iterator[tuple[int, str, int, int]]:
@@ -184,8 +182,17 @@ def site_style_tree(pages: DataFrame, host: str, html: str) -> DataFrame:
     return tree.where(F.col("pages") >= MIN_PAGES)
 
 
-def main_text(html: str | None, repeated: frozenset[str] = frozenset()) -> str:
-    """The text that is left of a page. `repeated`: paths whose entropy on this host is low."""
+def least_role(pages: Column, entropy: Column) -> Column:
+    """The least of ROLES that a branch needs to be kept; 2 if none suffices."""
+    most, least = ROLE_WEIGHT
+    grown = F.least(F.lit(1.0), F.log(pages / MIN_PAGES) / F.log(F.lit(MANY_PAGES / MIN_PAGES)))
+    weight = most - (most - least) * grown
+    enough = [(weight * role + (1 - weight) * entropy >= MIN_IMPORTANCE, role) for role in ROLES]
+    return F.coalesce(*(F.when(rule, F.lit(role)) for rule, role in enough), F.lit(2.0))
+
+
+def main_text(html: str | None, least: dict[str, float] | None = None) -> str:
+    """The text that is left of a page. `least`: the role that a path needs on this host, ROLES[1] where not given."""
     root = parse(html or "")
     important: set[int] = set()  # nodes in, or above, an article
     inside: set[int] = set()
@@ -204,17 +211,24 @@ def main_text(html: str | None, repeated: frozenset[str] = frozenset()) -> str:
                 up = up.parent
         todo += [(p, within) for p in node.parts if isinstance(p, Node)]
 
+    needed = least or {}
+    saved: set[int] = set()  # branches that their entropy has kept against their role, and what they hold
+
     def cut(node: Node) -> bool:
         if node is root or id(node) in important and id(node) not in inside:
             return False
+        held = id(node.parent) in saved
         if node.hinted or node.tag in BOILERPLATE:
             role = 0.0
-        elif id(node) in inside:
+        elif held or id(node) in inside:
             role = 1.0 if node.tag in PROSE or node.tag in MAIN else 0.5
         else:
             role = 0.0 if important and node.tag not in INLINE and node.tag not in VOID else 0.5
-        # of the entropy only matters whether it is low, and then it counts as none
-        return ROLE_WEIGHT * role + (1 - ROLE_WEIGHT) * (0.0 if paths.get(id(node)) in repeated else 1.0) < MIN_IMPORTANCE
+        if role < needed.get(paths.get(id(node)), ROLES[1]):
+            return True
+        if held or role == 0.0:
+            saved.add(id(node))
+        return False
 
     if important:  # text beside the article that no other element holds
         root.parts = [p for p in root.parts if isinstance(p, Node)]
@@ -229,16 +243,17 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html") -> Data
     """
     rest = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
     hosted = pages.select(host_of(F.col(url)).alias("sst_host"), F.col(html).alias("sst_html"), *rest)
-    tree = site_style_tree(hosted, "sst_host", "sst_html").where(F.col("entropy") < LOW_ENTROPY)
+    tree = site_style_tree(hosted, "sst_host", "sst_html").withColumn("least", least_role(F.col("pages"), F.col("entropy"))).where(F.col("least") != ROLES[1])
     # written first, so that Spark knows its size and broadcasts it only if it is small
-    low = stored(tree.groupBy("host").agg(F.collect_list("path").alias("sst_low")).select(F.col("host").alias("sst_of"), "sst_low"), "style-tree")
+    low = stored(tree.groupBy("host").agg(F.collect_list(F.struct("path", "least")).alias("sst_low")).select(F.col("host").alias("sst_of"), "sst_low"), "style-tree")
     joined = hosted.join(low, F.col("sst_host") == F.col("sst_of"), "left").drop("sst_of", "sst_host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             low_paths = batch.column(names.index("sst_low")).to_pylist()
-            texts = [main_text(h, frozenset(p or ())) for h, p in zip(batch.column(names.index("sst_html")).to_pylist(), low_paths, strict=True)]
+            needed = ({p["path"]: p["least"] for p in paths or ()} for paths in low_paths)
+            texts = [main_text(h, n) for h, n in zip(batch.column(names.index("sst_html")).to_pylist(), needed, strict=True)]
             kept = [batch.column(names.index(c)) for c in rest]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
