@@ -315,6 +315,19 @@ def test_toxicity_learns_words_stems_and_quotation(spark, docs, none):
     assert toxicity.fit_toxicity(df, labels.where("false")).entries == ()
 
 
+def test_words_of_a_stem_are_caught_misspelled():
+    rows = {("grumb", True): (90.0, 100.0), ("grumbelot", False): (30.0, 33.0), ("grumbathe", False): (20.0, 22.0), ("vilest", False): (40.0, 40.0)}
+    chosen = toxicity._chosen(rows)
+    assert set(chosen) == set(rows) and set(toxicity._own(tuple(chosen))) == {("grumb", True), ("vilest", False)}
+    finder = toxicity.Finder(chosen)
+    assert list(finder.hits("grumbelot")) == [("grumb", False, False)]
+    assert list(finder.hits("grmubelot gumbathe")) == [("grumbelot", True, False), ("grumbathe", True, False)]
+    both = toxicity.Trie()
+    for entry in (("lowei", True), ("lowei", False)):
+        both.add(*entry)
+    assert both.match("loweixyz") == ("lowei", 0) and both.match("lowie") == ("lowei", 1)
+
+
 # --- 8: language model
 
 

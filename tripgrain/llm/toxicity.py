@@ -40,10 +40,10 @@ REPORTED = frozenset("said says wrote writes quote quoted quoting cited reported
 
 @dataclass
 class Trie:
-    """Entries by letter. An entry is (text, whether any ending may follow)."""
+    """Entries by letter. An entry is (text, whether any ending may follow, whether it is a word that may be misspelled)."""
 
     next: list[dict[str, int]] = field(default_factory=lambda: [{}])
-    end: list[tuple[str, bool] | None] = field(default_factory=lambda: [None])
+    end: list[tuple[str, bool, bool] | None] = field(default_factory=lambda: [None])
 
     def add(self, text: str, is_stem: bool) -> None:
         at = 0
@@ -53,11 +53,13 @@ class Trie:
                 self.next.append({})
                 self.end.append(None)
             at = self.next[at][c]
-        self.end[at] = (text, is_stem)
+        _, stem, word = self.end[at] or (text, False, False)
+        self.end[at] = (text, stem or is_stem, word or not is_stem)
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The entry nearest to the word and its distance: 0, or 1 for entries of FUZZY_LETTERS or more. One edit is a
-        letter put in, left out or replaced, or two neighbours swapped. A stem needs its start to match exactly."""
+        letter put in, left out or replaced, or two neighbours swapped. A stem needs its start to match exactly; words of
+        its family that are entries themselves may be misspelled."""
         best: tuple[str, int] | None = None
         n = len(word)
         # states of the automaton: (letters read, edits so far, letter owed by a swap)
@@ -66,13 +68,13 @@ class Trie:
             at, states = todo.pop()
             entry = self.end[at]
             if entry:
-                text, is_stem = entry
+                text, is_stem, is_word = entry
                 for read, edits, owed in states:
                     if owed:
                         continue
                     whole = read == n or (is_stem and edits == 0)
-                    total = edits if whole else edits + 1 if not is_stem and edits == 0 and read == n - 1 else 9
-                    if total <= (1 if len(text) >= FUZZY_LETTERS and not is_stem else 0) and (best is None or total < best[1]):
+                    total = edits if whole else edits + 1 if is_word and edits == 0 and read == n - 1 else 9
+                    if total <= (1 if len(text) >= FUZZY_LETTERS and is_word else 0) and (best is None or total < best[1]):
                         best = (text, total)
                         if total == 0:
                             return best
@@ -171,13 +173,19 @@ class ToxicModel:
 
 def _chosen(rows: dict[tuple[str, bool], tuple[float, float]]) -> list[tuple[str, bool]]:
     """Of words and stems (text, is_stem) with their excess and their hits in toxic texts: stems as long as they lose
-    little, stems with many endings, and words that no stem covers."""
+    little, stems with many endings, and words. A word that a stem covers stays for its misspellings."""
     stems = {text: n for (text, stem), n in rows.items() if stem}
     words = {text: n for (text, stem), n in rows.items() if not stem}
     whole = {s: n for s, n in stems.items() if not any(o[:-1] == s and m[0] >= 0.9 * n[0] for o, m in stems.items())}
     whole = {s: n for s, n in whole.items() if n[1] > 1.3 * max((m[1] for w, m in words.items() if w.startswith(s)), default=0)}
     least = {s for s in whole if not any(s != o and s.startswith(o) for o in whole)}
-    return sorted([(s, True) for s in least] + [(w, False) for w in words if not any(w.startswith(s) for s in least)])
+    return sorted([(s, True) for s in least] + [(w, False) for w in words if len(w) >= FUZZY_LETTERS or not any(w.startswith(s) for s in least)])
+
+
+def _own(entries: tuple[tuple[str, bool], ...]) -> tuple[tuple[str, bool], ...]:
+    """Entries without the words that a stem covers: those are never hit as they stand."""
+    stems = tuple(s for s, is_stem in entries if is_stem)
+    return tuple((text, is_stem) for text, is_stem in entries if is_stem or not text.startswith(stems))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sizes: dict[int, int] = SAMPLE) -> ToxicModel:
@@ -232,6 +240,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
         if r["n"] >= MIN_LIFT * e and r["n"] - e >= MIN_EXCESS * (e + 0.1) ** 0.5:
             sure[key] = (likely[key]["t"] - e, likely[key]["t"])
     entries = tuple(_chosen(sure))
+    own = _own(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(list(entries))
@@ -253,16 +262,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
         return max(0.0, log(((t + 10 * belief) / (n_toxic + 10)) / ((o + 0.1) / (n_other + 10))))
 
     rates = {}
-    for key in entries:
+    for key in own:
         r = likely[key]
         if r["root_o"] >= 20 and key[0] in seen:
             other = (r["o"] + 0.5) / (r["root_o"] + 1)
             toxic = min(0.95, max(seen[key[0]]["hits"] / max(1, seen[key[0]]["rooted"]), MIN_LIFT * other))
             if toxic > other:
                 rates[key[0]] = (toxic, min(other, 0.9))
-    weights = {text: weight(text, 0.2) for text, _ in entries} | {"~" + text: weight("~" + text, 0.2) for text, is_stem in entries if not is_stem}
+    weights = {text: weight(text, 0.2) for text, _ in own} | {"~" + text: weight("~" + text, 0.2) for text, is_stem in entries if not is_stem}
     # quoted: half of what an ordinary hit says, until labelled texts say otherwise
-    typical = float(np.median([weights[t] for t, _ in entries])) if entries else 0.0
+    typical = float(np.median([weights[t] for t, _ in own])) if own else 0.0
     t, o = found.get("quoted", (0, 0))
     weights["quoted"] = 0.25 * typical if t + o < 10 else weight("quoted", 0.02)
     share = min(max(share or 0.0, 0.001), 0.5)
