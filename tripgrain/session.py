@@ -40,9 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def drop_copies(spark: SparkSession) -> None:
-    """Remove what `durable` has stored for this application; frames that read it are of no use afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tripgrain/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Remove all copies stored for this application, of every package; frames that read them are of no use afterwards."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/*/{spark.sparkContext.applicationId}")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(pattern) or ():
+        files.delete(found.getPath(), True)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
