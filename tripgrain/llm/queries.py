@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from tripgrain.llm.common import fresh_path, id_remainder, table
 from tripgrain.llm.decontaminate import find_leaks
+from tripgrain.llm.filter_audit import audit_filters
 from tripgrain.llm.html_text import extract_text
 from tripgrain.llm.language_model import score_texts
 from tripgrain.llm.packing import pack_documents
 from tripgrain.llm.quality_model import fit_nearest, score_quality
 from tripgrain.llm.quality_rules import judge_quality
+from tripgrain.llm.resampling import resample
+from tripgrain.llm.sharding import shard_rows
 from tripgrain.llm.simhash import near_copies, print_text
 from tripgrain.llm.token_store import read_tokens, write_tokens
 from tripgrain.llm.toxicity import fit_toxicity, score_toxicity
@@ -88,6 +91,23 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return copies.select("doc_id", print_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    return audit_filters(docs, table(spark, d, "labels"), {"good_lost": "quality", "toxic_lost": "toxic"})
+
+
+def op12_sharding(spark: SparkSession, d: str) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit(""))
+    size, checksum = F.octet_length(body).cast("long") + 1, F.crc32(body.cast("binary"))
+    docs = table(spark, d, "documents").select("doc_id", size.alias("size"), checksum.alias("text_crc32"))
+    return shard_rows(docs).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op13_resampling(spark: SparkSession, d: str) -> DataFrame:
+    drawn = resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_url_rules": op1_url_rules,
     "op2_token_store": op2_token_store,
@@ -99,6 +119,9 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_sharding": op12_sharding,
+    "op13_resampling": op13_resampling,
     "pipeline": pipeline,
 }
 
