@@ -10,6 +10,7 @@ from tripgrain.llm.decontaminate import find_leaks
 from tripgrain.llm.filter_audit import audit_filters
 from tripgrain.llm.html_text import extract_text
 from tripgrain.llm.language_model import score_texts
+from tripgrain.llm.oracle import ORACLE as WHOLE_SQL
 from tripgrain.llm.packing import pack_documents
 from tripgrain.llm.quality_model import fit_nearest, score_quality
 from tripgrain.llm.quality_rules import judge_quality
@@ -142,4 +143,5 @@ ORACLE = {
             GROUP BY page_id
         )
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)""",
+    **WHOLE_SQL,
 }
