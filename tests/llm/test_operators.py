@@ -77,14 +77,17 @@ def test_url_rules_against_brute_force(spark):
 def test_remembered_pieces_change_no_id(monkeypatch, name):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(tokens, "MEMO_WORDS", 40)
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 6000)
     monkeypatch.setattr(tokens, "MEMO_CHARS", 6)
     coder, whole, dice = tokens.Encoder(tokenizer_file(name)), Tokenizer.from_file(tokenizer_file(name)), random.Random(8)
     parts = [*SYLLABLES, "É", "straße", "ÿ", "İx", "e\u0301", "ŒUVRE", "don't", "'s", "12,3", "a|b", "<|endoftext|>", "$$$", "word.", "word,!", "x" * 50, "日本", "²", "\t", "\u00a0", "\n", "  "]
     for _ in range(400):
         text = dice.choice(["", " "]).join(dice.choice([" ", "", "\n"]) + dice.choice(parts) for _ in range(dice.randrange(25)))
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
-    assert all(len(p) <= 6 for p in coder.memo)
+    assert coder.older and coder.memo and all(len(p) <= 6 for p in coder.memo)
+    odd = [None, "", " ", "\n", " a", "a ", "a\n", "\na b", "a  b", "a\n\nb", "a \nb", "\x00a b", "a\x01 b", "A\tb c d", "x\u3000y z", *parts]
+    for got, text in zip(coder.encode_group(odd), odd, strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
 
 
 @pytest.mark.parametrize("ids", [[5], [7] * 3000, list(range(2500)), [0, 2**32 - 1] * 600, [DICE.randrange(50_000) if DICE.random() < 0.9 else DICE.randrange(2**32) for _ in range(4000)]])

@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.tokens import encoder
+from tripgrain.llm.tokens import encoded
 
 SEQUENCE = 1024
-POOL_TOKENS = 1 << 23
+POOL_TOKENS = 1 << 21
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -76,15 +76,18 @@ def best_fit_decreasing(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.n
     return sequence, offset, used
 
 
-def _pool(docs: list[tuple[int | None, bytes]], size: int, first: int) -> tuple[pa.RecordBatch, int]:
+def _pool(keys: list[int | None], ids: list[bytes], size: int, first: int) -> tuple[pa.RecordBatch, int]:
     """Pieces of the documents; the number of the next free sequence."""
-    rows: list[tuple] = []  # doc_id, start, length, doc_tokens, ids
-    for doc_id, ids in docs:
-        n = len(ids) // 4
-        rows += [(doc_id, k, min(size, n - k), n, ids[4 * k : 4 * (k + size)]) for k in range(0, n, size)]
-    length = np.array([r[2] for r in rows], np.int64)
+    n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    parts = -(-n // size)  # an end id at least, so a document has a piece
+    doc = np.repeat(np.arange(len(n)), parts)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)) * size
+    length = np.minimum(size, n[doc] - start)
     sequence, offset, used = best_fit_decreasing(length, size)
-    columns = [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)), pa.array(sequence + first), pa.array(offset), pa.array([r[4] for r in rows], pa.binary())]
+    # pieces follow each other as the documents do
+    edges = np.concatenate(([0], 4 * np.cumsum(length)))
+    bodies = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(b"".join(ids))]).cast(pa.binary())
+    columns = [pa.array(keys, pa.int64()).take(pa.array(doc)), *map(pa.array, (start, length, n[doc], sequence + first, offset)), bodies]
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]), first + used
 
 
@@ -98,19 +101,20 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end, free = encoder(tokenizer), struct.pack("<I", end_id), TaskContext.get().partitionId() << 33
-        pool: list[tuple[int | None, bytes]] = []
+        free = TaskContext.get().partitionId() << 33
+        keys: list[int | None] = []
+        pool: list[bytes] = []
         held = 0
-        for batch in batches:
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pool.append((key, coder.encode(body or "") + end))
-                held += len(pool[-1][1]) // 4
-                if held >= POOL_TOKENS:
-                    out, free = _pool(pool, size, free)
-                    yield out
-                    pool, held = [], 0
+        for some, ids in encoded(batches, tokenizer, struct.pack("<I", end_id)):
+            keys += some
+            pool += ids
+            held += sum(map(len, ids)) // 4
+            if held >= POOL_TOKENS:
+                out, free = _pool(keys, pool, size, free)
+                keys, pool, held = [], [], 0
+                yield out
         if pool:
-            yield _pool(pool, size, free)[0]
+            yield _pool(keys, pool, size, free)[0]
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripgrain.llm.tokens import encoder
+from tripgrain.llm.tokens import encoded
 
 BLOCK = 1024
 CHUNK_TOKENS = 1 << 18
@@ -77,8 +77,7 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> I
     schema = pa.schema(
         [("shard", pa.int32()), ("chunk", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("block_starts", pa.list_(pa.int32())), ("payload", pa.binary())]
     )
-    coder, end, shard = encoder(tokenizer), struct.pack("<I", end_id), TaskContext.get().partitionId()
-    chunk, start = 0, 0
+    shard, chunk, start = TaskContext.get().partitionId(), 0, 0
     doc_ids: list = []
     parts: list[bytes] = []
 
@@ -91,11 +90,11 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> I
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     held = 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for keys, ids in encoded(batches, tokenizer, struct.pack("<I", end_id)):
+        for doc_id, body in zip(keys, ids, strict=True):
             doc_ids.append(doc_id)
-            parts.append(coder.encode(text or "") + end)
-            held += len(parts[-1]) // 4
+            parts.append(body)
+            held += len(body) // 4
             if held >= CHUNK_TOKENS:
                 held = 0
                 yield flush()

@@ -1,95 +1,191 @@
-"""Token ids with a public tokenizer file, inside tasks. Ids travel as little-endian unsigned 32-bit integers."""
+"""Token ids with a public tokenizer file, inside tasks. Ids travel as little-endian unsigned 32-bit integers.
+
+Words repeat, so the ids of a piece of text are remembered; the words that a group of texts brings anew are encoded
+together. A piece starts where a space or line break follows another character: both tokenizers in use end a pre-token
+there, so pieces can be encoded one by one. Texts with other white space are encoded whole.
+"""
 
 from __future__ import annotations
 
 import json
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
-MEMO_WORDS = 600_000  # pieces that a Python worker remembers; then it starts anew, and keeps these until it does so again
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MEMO_BYTES = 48 << 20  # of remembered pieces; then a worker starts anew, and keeps these until it does so again
 MEMO_CHARS = 48  # longer pieces are not remembered
+ENTRY_BYTES = 160  # of an entry, besides its characters and ids
+SEEN = (1 << 22) + 1  # flags that tell, by a hash, whether a piece has been met since the last start
+GROUP_BYTES = 1 << 20  # of texts that are encoded together
 
-# A piece starts where a space or line break follows another character. Both tokenizers in use end a pre-token there,
-# so pieces can be encoded one by one; texts with other white space are encoded whole.
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​-‍⁠﻿]")
+# What parts of a text are looked up by: a word after a space stands alone, other pieces begin with one of these marks.
+# A word not after a space; any other piece, written out. A word after a line break begins with the break.
+BARE, WHOLE = "\x00", "\x01"
 # A word and the marks after it: both tokenizers end a pre-token between the two, and before the next word's space.
 # Latin-1 letters keep their number of bytes in lower case.
-WORD = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)\Z")
+WORD = re.compile(r"([\n\x00]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)\Z")
+FOREIGN = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ]")
+ASCII = {chr(c) for c in range(128)}
+PROBES = ["The", "quick", "straße", "ÀÉÿ", "x", "Zz"]
 
 
 class Encoder:
-    """Encodes whole texts. Most words repeat, so the ids of a piece are remembered; new words of a text are encoded
-    together, and the marks after a word apart from it."""
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
-        import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.memo, self.older = Tokenizer.from_file(path), {}, {}
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+        self.tokenizer, self.memo, self.older, self.held, self.seen = Tokenizer.from_file(path), {}, {}, 0, bytearray(SEEN)
+        plan = json.loads(self.tokenizer.to_str())
+        suffix = plan["model"].get("end_of_word_suffix") or ""
         vocabulary = self.tokenizer.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes that an id stands for: one per character
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters that an id stands for
         for token, k in vocabulary.items():
             self.sizes[k] = len(token.removesuffix(suffix))
-        self.space = int(self.sizes[self.tokenizer.encode(" a", add_special_tokens=False).ids].sum()) - 1  # of a space before a word
+        # the model alone, for words of Latin letters already written as the pre-tokenizer would
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {chr(c): written.pre_tokenize_str(chr(c))[0][0] for c in range(192, 256) if chr(c).isalpha()}
+        self.lower = "Lowercase" in json.dumps(plan["normalizer"])
+        self.space = "" if suffix else written.pre_tokenize_str(" ")[0][0]
+        plan |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(plan))
+        probes = [BARE + PROBES[0], *PROBES[1:]]
+        if b"".join(self._words(probes)) != self._plain([" ".join(PROBES)])[0]:
+            self.model = None  # another kind of tokenizer: words go through all of it
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Words, each a space and Latin letters: encoded as one text, then cut by the bytes that its ids stand for."""
-        import numpy as np
-
-        if not words:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _words(self, keys: list[str]) -> list[bytes]:
+        """Words of Latin letters, after a space or not: encoded as one text, then cut by the characters that ids stand for."""
+        if self.model is None:
+            return self._plain([_text_of(k) for k in keys])
+        if not keys:
             return []
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) - 1 + self.space for w in words])
+        whole = " ".join(keys)
+        whole = whole.lower() if self.lower else whole
+        # some passes at memory speed; what a letter becomes holds no other letter but the first one taken
+        for letter in sorted(set(whole) - ASCII, key=lambda c: c != "Ã"):
+            whole = whole.replace(letter, self.letters[letter])
+        forms = [k[1:] if k[0] == BARE else self.space + k for k in whole.split(" ")]
+        ids = np.array(self.model.encode_batch_fast([" ".join(forms)], add_special_tokens=False)[0].ids, "<u4")
+        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, forms), np.int64, len(forms)))
         last = np.searchsorted(ends, wanted)
         if not len(ends) or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
-            return self._plain(words)
+            return self._plain([_text_of(k) for k in keys])
         raw, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
         return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not remembered, and of the parts they were made of."""
+    def _new(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not remembered, and of the words they are made of."""
         memo = self.memo
-        parts = {p: m.groups() for p in pieces if (m := WORD.match(p))}
-        words = [w for w in {w for w, _ in parts.values()} if w not in memo]
-        others = [p for p in {t for _, t in parts.values() if t}.union(p for p in pieces if p not in parts) if p not in memo]
-        found = dict(zip(words, self._words(words), strict=True))
-        found.update(zip(others, self._plain(others), strict=True))
-        for p, (word, marks) in parts.items():
-            if marks:
-                found[p] = b"".join([memo[x] if x in memo else found[x] for x in (word, marks)])
+        words, others = {k for k in keys if k.isalpha()}, set()
+        if FOREIGN.search("".join(words)):
+            others = {k for k in words if FOREIGN.search(k)}
+            words -= others
+        parts = []
+        for key in keys.difference(words, others):
+            if m := WORD.match(key):
+                lead, word, marks = m.groups()
+                parts.append((key, WHOLE + "\n" if lead == "\n" else "", BARE + word if lead else word, WHOLE + marks if marks else ""))
+            else:
+                others.add(key)
+        words.update(p[2] for p in parts if p[2] not in memo)
+        others.update(x for p in parts for x in (p[1], p[3]) if x and x not in memo)
+        listed, spelled = list(others), list(words)
+        found = dict(zip(spelled, self._words(spelled), strict=True))
+        found.update(zip(listed, self._plain([_text_of(k) for k in listed]), strict=True))
+        for key, lead, word, marks in parts:
+            if lead or marks:
+                found[key] = b"".join([memo[x] if x in memo else found[x] for x in (lead, word, marks) if x])
         return found
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        pieces, memo = PIECE.findall(text), self.memo
-        new, found = set(pieces).difference(memo), {}
+    def _remember(self, fresh: dict[str, bytes]) -> None:
+        """A piece is remembered from the second time that it is met; most are met once."""
+        seen, size = self.seen, len(self.seen)
+        kept = {}
+        for key, ids in fresh.items():
+            at = hash(key) % size
+            if seen[at]:
+                if len(key) <= MEMO_CHARS:
+                    kept[key] = ids
+            else:
+                seen[at] = 1
+        self.memo.update(kept)
+        self.held += ENTRY_BYTES * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, null and empty ones included."""
+        keyed = [_keys(t or "") for t in texts]
+        lookup = self.memo.get
+        ids = [list(map(lookup, keys)) for keys in keyed]
+        gaps = [[i for i, x in enumerate(found) if x is None] if None in found else [] for found in ids]
+        new = {keys[i] for keys, gap in zip(keyed, gaps, strict=True) for i in gap}
         if new:
-            if OTHER_SPACE.search("".join(new)):  # such a piece is never remembered
-                return self._plain([text])[0]
-            if len(memo) > MEMO_WORDS:  # start anew, but for what is met again
-                self.older, self.memo, new = memo, {}, set(pieces)
-                memo = self.memo
-            memo.update([(p, self.older[p]) for p in new if p in self.older])
-            found = self._new([p for p in new if p not in memo])
-            memo.update(found)
-        ids = b"".join(map(memo.__getitem__, pieces))
-        for p in found:
-            if len(p) > MEMO_CHARS:
-                del memo[p]
-        return ids
+            if self.held > MEMO_BYTES:  # start anew, but for what is met again
+                self.older, self.memo, self.held, self.seen = self.memo, {}, 0, bytearray(SEEN)
+                lookup = self.memo.get
+            fresh = {k: self.older[k] for k in new if k in self.older}
+            odd = {k for k in new if OTHER_SPACE.search(k[1:])} if OTHER_SPACE.search("".join([k[1:] for k in new])) else set()
+            fresh.update(self._new({k for k in new if k not in fresh and k not in odd}))
+            for n, (keys, gap) in enumerate(zip(keyed, gaps, strict=True)):
+                if odd and any(keys[i] in odd for i in gap):
+                    ids[n] = self._plain([texts[n]])
+                else:
+                    for i in gap:
+                        ids[n][i] = fresh[keys[i]]
+            self._remember(fresh)
+        return [b"".join(found) for found in ids]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_group([text])[0]
+
+
+def _keys(text: str) -> list[str]:
+    """The pieces of a text as they are looked up."""
+    if "\x00" in text or "\x01" in text or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+        return [WHOLE + p for p in PIECE.findall(text)]
+    if not text:
+        return []
+    keys = text.replace("\n", " \n").split(" ")
+    if keys[0]:
+        keys[0] = BARE + keys[0]
+    else:
+        del keys[0]  # the text begins with a space or line break
+    if not keys[-1]:
+        keys[-1] = WHOLE + " "
+    return keys
+
+
+def _text_of(key: str) -> str:
+    """The piece of text that a key stands for."""
+    if key[0] in "\x00\x01":
+        return key[1:]
+    return key if key[0] == "\n" else " " + key
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per Python worker and file; reused by later tasks of the worker."""
     return Encoder(path)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end: bytes) -> Iterator[tuple[list, list[bytes]]]:
+    """Keys (first column) and ids of the texts (second column), each with `end` after it, some texts at a time."""
+    coder = encoder(path)
+    for batch in batches:
+        texts = batch.column(1)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        groups = np.cumsum(sizes) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                ids = coder.encode_group(texts.slice(a, b - a).to_pylist())
+                yield batch.column(0).slice(a, b - a).to_pylist(), [x + end for x in ids]
