@@ -1,12 +1,14 @@
 """The same questions as SQL text for DuckDB, over the same tables.
 
 Written straight from trips to answer, without the two-level totals of the Spark plans, so that the two sides
-share no intermediate step. Sums are taken over decimals and shown as doubles, so their value does not depend
-on the order of addition.
+share no intermediate step. Doubles are summed as whole multiples of 2^-66 in 128-bit integers, which loses nothing at
+the size of these tables, and a sum becomes the nearest double, so it does not depend on the order of addition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 PERIOD = "TIMESTAMP '1998-01-01'", "TIMESTAMP '1999-01-01'"
 EVENT_PERIOD = "TIMESTAMP '2024-01-08'", "TIMESTAMP '2024-01-22'"
 
@@ -87,14 +89,32 @@ GAPPY = ",".join((GAPPY_TRIPS, SHORT_PLACES, staged(), ENRICHED))
 EVENT = ",".join((EVENT_TRIPS, PLACES, staged(EVENT_PERIOD, 80), ENRICHED))
 
 # spellings used throughout
-MINUTES = "sum(trip_duration_minutes::DECIMAL(18,2))"
-MILES = "sum(distance::VARCHAR::DECIMAL(38,18))"
 CATEGORY = "CASE WHEN origin_id = dest_id THEN 'Same-Zone' ELSE 'Cross-Zone' END"
 HOUR = "hour(pickup_ts)"
 
 
-# A double enters a sum with the digits of its shortest text, and a sum becomes the nearest double; both go through
-# text because the direct casts work on the binary value.
+UNIT = "73786976294838206464::DOUBLE"  # 2^66
+
+
+def units(x: str) -> str:
+    """A sum of doubles in units of 2^-66."""
+    return f"sum(CAST({x} * {UNIT} AS HUGEINT))"
+
+
+def amount(units_sum: str) -> str:
+    """The double nearest to a sum in units; the direct cast of such an integer would round twice."""
+    return f"(CAST(CAST({units_sum} AS VARCHAR) AS DOUBLE) / {UNIT})"
+
+
+def total(x: str, where: str = "TRUE") -> str:
+    return amount(f"{units(x)} FILTER ({where})")
+
+
+# Measures that are decimals add up as such.
+def plain(x: str) -> str:
+    return f"sum({x})"
+
+
 def dbl(x: str) -> str:
     return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
 
@@ -110,64 +130,72 @@ def avg_of(x: str) -> str:
 
 # --- reports: name -> (extra common table expressions, final select) -------------------------------------
 
-DAILY = f"""
-SELECT pickup_date, count(*) AS daily_trip_count, {dbl("sum(fare_amount::VARCHAR::DECIMAL(38,18))")} AS total_metered_fares,
-       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS total_passenger_amount_paid, {big("sum(party_size)")} AS total_passengers,
+def daily(money: Callable[[str], str] = total) -> str:
+    return f"""
+SELECT pickup_date, count(*) AS daily_trip_count, {money("fare_amount")} AS total_metered_fares,
+       {money("total_amount")} AS total_passenger_amount_paid, {big("sum(party_size)")} AS total_passengers,
        avg(party_size) AS avg_passenger_amount
 FROM enriched GROUP BY ALL"""
 
+
+DAILY = daily()
+
 ZONES = f"""
 SELECT pickup_zone, pickup_borough, count(*) AS total_trip_count,
-       round({dbl("sum(fare_amount::VARCHAR::DECIMAL(38,18))")}, 2) AS total_metered_fares,
-       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")}) AS total_passenger_amount_paid,
+       round({total("fare_amount")}, 2) AS total_metered_fares,
+       round({total("total_amount")}) AS total_passenger_amount_paid,
        {big("sum(party_size)")} AS total_passengers, round(avg(party_size), 2) AS avg_passenger_per_trip
 FROM enriched GROUP BY pickup_zone, pickup_borough"""
 
-HOURLY = f"""
+def hourly(part: Callable[[str], str] = units, value: Callable[[str], str] = amount) -> str:
+    return f"""
 SELECT h AS pickup_hour, count(*) AS days_observed, {big("sum(n)")} AS total_trips,
        round({avg_of("n")}, 2) AS avg_daily_trips,
        {big("sum(p)")} AS total_reported_passengers, round({avg_of("p")}, 2) AS avg_daily_reported_passengers,
        round(100.0 * sum(r)::DOUBLE / sum(n)::DOUBLE, 2) AS passenger_count_coverage_pct,
        round(sum(p)::DOUBLE / nullif(sum(r), 0), 2) AS avg_passengers_per_reported_trip,
-       round({dbl("sum(f)")}, 2) AS total_metered_fares, round({avg_of("f")}, 2) AS avg_daily_metered_fares,
-       round({dbl("sum(t)")}, 2) AS total_passenger_amount, round({avg_of("t")}, 2) AS avg_daily_passenger_amount,
-       round({dbl("sum(t)")} / sum(n)::DOUBLE, 2) AS avg_passenger_amount_per_trip,
-       round({dbl("sum(d)")} / sum(n)::DOUBLE, 2) AS avg_trip_distance_miles,
-       round({dbl("sum(m)")} / sum(n)::DOUBLE, 2) AS avg_trip_duration_minutes
+       round({value("sum(f)")}, 2) AS total_metered_fares, round({value("sum(f)")} / count(f), 2) AS avg_daily_metered_fares,
+       round({value("sum(t)")}, 2) AS total_passenger_amount, round({value("sum(t)")} / count(t), 2) AS avg_daily_passenger_amount,
+       round({value("sum(t)")} / sum(n)::DOUBLE, 2) AS avg_passenger_amount_per_trip,
+       round({amount("sum(d)")} / sum(n)::DOUBLE, 2) AS avg_trip_distance_miles,
+       round({amount("sum(m)")} / sum(n)::DOUBLE, 2) AS avg_trip_duration_minutes
 FROM (SELECT pickup_date, {HOUR} AS h, count(*) AS n, count(party_size) AS r, sum(party_size) AS p,
-             sum(fare_amount::VARCHAR::DECIMAL(38,18)) AS f, sum(total_amount::VARCHAR::DECIMAL(38,18)) AS t, {MILES} AS d, {MINUTES} AS m
+             {part("fare_amount")} AS f, {part("total_amount")} AS t, {units("distance")} AS d, {units("trip_duration_minutes")} AS m
       FROM enriched GROUP BY 1, 2)
 GROUP BY h"""
 
+
+HOURLY = hourly()
+
 ZONE_HOUR_DETAIL = f"""
 SELECT pickup_date, {HOUR} AS pickup_hour, count(*) AS trips_in_hour, pickup_borough, pickup_zone,
-       {big("sum(party_size)")} AS hourly_passenger_count, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS hourly_passenger_amount,
-       {dbl(MILES)} AS hourly_trip_distance, {dbl(MINUTES)} AS hourly_trip_duration_minutes
+       {big("sum(party_size)")} AS hourly_passenger_count, {total("total_amount")} AS hourly_passenger_amount,
+       {total("distance")} AS hourly_trip_distance, {total("trip_duration_minutes")} AS hourly_trip_duration_minutes
 FROM enriched GROUP BY ALL"""
 
 ZONE_HOURS = f"""
 SELECT h AS pickup_hour_of_the_day, pickup_zone, pickup_borough,
        round({avg_of("n")}) AS avg_trips_per_active_day,
        round({avg_of("p")}) AS avg_reported_passengers_per_active_day,
-       round({avg_of("t")}) AS avg_passenger_amount_per_active_day,
-       round({avg_of("d")}) AS avg_trip_miles_per_active_day,
-       round({avg_of("m")}) AS avg_trip_minutes_per_active_day
+       round({amount("sum(t)")} / count(t)) AS avg_passenger_amount_per_active_day,
+       round({amount("sum(d)")} / count(d)) AS avg_trip_miles_per_active_day,
+       round({amount("sum(m)")} / count(m)) AS avg_trip_minutes_per_active_day
 FROM (SELECT pickup_date, {HOUR} AS h, pickup_zone, pickup_borough, count(*) AS n, sum(party_size) AS p,
-             sum(total_amount::VARCHAR::DECIMAL(38,18)) AS t, {MILES} AS d, {MINUTES} AS m
+             {units("total_amount")} AS t, {units("distance")} AS d, {units("trip_duration_minutes")} AS m
       FROM enriched GROUP BY 1, 2, 3, 4)
 GROUP BY ALL"""
 
 ROUTE_TOTALS = f"""
 SELECT pickup_zone, dropoff_zone, {CATEGORY} AS route_category, count(*) AS route_total_trips,
-       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS route_total_amount, {dbl(MINUTES)} AS route_total_trip_duration,
-       {dbl(MILES)} AS route_total_trip_distance
+       {total("total_amount")} AS route_total_amount, {total("trip_duration_minutes")} AS route_total_trip_duration,
+       {total("distance")} AS route_total_trip_distance
 FROM enriched GROUP BY ALL"""
 
 ROUTE_AVERAGES = f"""
 SELECT pickup_zone, dropoff_zone, {CATEGORY} AS route_category, count(*) AS route_total_trips,
-       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} / count(*), 2) AS avg_route_amount,
-       round({dbl(MILES)} / count(*), 2) AS avg_route_trip_distance,
-       round({dbl(MINUTES)} / count(*)) AS avg_route_trip_duration
+       round({total("total_amount")} / count(*), 2) AS avg_route_amount,
+       round({total("distance")} / count(*), 2) AS avg_route_trip_distance,
+       round({total("trip_duration_minutes")} / count(*)) AS avg_route_trip_duration
 FROM enriched GROUP BY ALL"""
 
 
@@ -189,15 +217,15 @@ PRIORITY = priority(365.0)
 
 SEGMENTS = f"""
 SELECT CASE origin_id WHEN 3 THEN 'Hub three' WHEN 8 THEN 'Hub eight' ELSE 'Other origins' END AS pickup_segment,
-       count(*) AS total_trips, round({avg_of("total_amount::VARCHAR::DECIMAL(38,18)")}, 2) AS avg_recorded_payment_usd,
-       round({dbl(MINUTES)} / count(trip_duration_minutes), 2) AS avg_trip_minutes,
-       round({dbl(MILES)} / count(distance), 2) AS avg_trip_miles,
-       round({dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")}, 2) AS total_recorded_payment_usd
+       count(*) AS total_trips, round({total("total_amount")} / count(total_amount), 2) AS avg_recorded_payment_usd,
+       round({total("trip_duration_minutes")} / count(trip_duration_minutes), 2) AS avg_trip_minutes,
+       round({total("distance")} / count(distance), 2) AS avg_trip_miles,
+       round({total("total_amount")}, 2) AS total_recorded_payment_usd
 FROM enriched GROUP BY 1"""
 
 SUMMARY = f"""
-SELECT count(*) AS eligible_trips, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS recorded_payments,
-       {avg_of("total_amount::VARCHAR::DECIMAL(38,18)")} AS avg_payment, {dbl(MINUTES)} / count(trip_duration_minutes) AS avg_minutes,
+SELECT count(*) AS eligible_trips, {total("total_amount")} AS recorded_payments,
+       {total("total_amount")} / count(total_amount) AS avg_payment, {total("trip_duration_minutes")} / count(trip_duration_minutes) AS avg_minutes,
        count(*) - count(party_size) AS missing_passenger_count,
        (SELECT count(*) FROM staged) AS period_source_trips,
        100.0 * (SELECT sum(n)::DOUBLE FROM (SELECT count(*) AS n FROM enriched GROUP BY pickup_zone, pickup_borough
@@ -208,11 +236,15 @@ FROM enriched"""
 # --- checks ---------------------------------------------------------------------------------------------
 
 
+def shown(x: str) -> str:
+    """A value with six places, rounded from its shortest text."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,6))"
+
+
 def check_list(suite: str, source: str, checks: list[tuple[str, str, str, str]]) -> str:
     """(name, actual, expected, tolerance) over a one-row source, unnested into rows."""
     structs = ",\n    ".join(
-        f"{{'o': {i}, 'n': '{name}', 'a': CAST({a} AS DECIMAL(38,6)), 'e': CAST({e} AS DECIMAL(38,6)), "
-        f"'t': CAST({t} AS DECIMAL(38,6))}}"
+        f"{{'o': {i}, 'n': '{name}', 'a': {shown(a)}, 'e': {shown(e)}, 't': {shown(t)}}}"
         for i, (name, a, e, t) in enumerate(checks, start=1)
     )
     return f"""
@@ -288,8 +320,8 @@ w AS (
 
 TOTALS = f"""
 src AS (
-  SELECT count(*) AS src_n, sum(fare_amount::VARCHAR::DECIMAL(38,18)) AS src_f, sum(total_amount::VARCHAR::DECIMAL(38,18)) AS src_t, sum(party_size) AS src_p,
-         {MILES} AS src_d, {MINUTES} AS src_m, count_if(origin_id = dest_id) AS src_same,
+  SELECT count(*) AS src_n, {total("fare_amount")} AS src_f, {total("total_amount")} AS src_t, sum(party_size) AS src_p,
+         {total("distance")} AS src_d, {total("trip_duration_minutes")} AS src_m, count_if(origin_id = dest_id) AS src_same,
          count_if(origin_id <> dest_id) AS src_cross, min(pickup_date) AS first_date, max(pickup_date) AS last_date,
          count(DISTINCT pickup_date) AS src_dates, count(DISTINCT (pickup_zone, pickup_borough)) AS src_zones,
          count(DISTINCT {HOUR}) AS src_hours, count(DISTINCT ({HOUR}, pickup_zone, pickup_borough)) AS src_cells,
@@ -298,7 +330,7 @@ src AS (
 
 
 def money(x: str) -> str:
-    return f"sum({x}::VARCHAR::DECIMAL(38,18))"
+    return total(x)
 
 
 DAILY_CHECKS = (
@@ -357,7 +389,7 @@ own AS (SELECT count(*) AS n, count(DISTINCT pickup_hour) AS k, sum(total_trips)
                sum(total_reported_passengers) AS p, {money("total_metered_fares")} AS f,
                {money("total_passenger_amount")} AS t FROM mart),
 direct AS (SELECT {HOUR} AS pickup_hour, count(DISTINCT pickup_date) AS days, count(*) AS trips,
-                  count(party_size) AS reported, {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18))")} AS t, {dbl(MILES)} AS d, {dbl(MINUTES)} AS m
+                  count(party_size) AS reported, {total("total_amount")} AS t, {total("distance")} AS d, {total("trip_duration_minutes")} AS m
            FROM enriched GROUP BY 1),
 bad AS (SELECT count_if((days_observed, avg_daily_trips, passenger_count_coverage_pct, avg_passenger_amount_per_trip,
                          avg_trip_distance_miles, avg_trip_duration_minutes)
@@ -575,8 +607,8 @@ SELECT event_id, CAST(ts - TIMESTAMP '2024-01-16 06:07:08.9' AS VARCHAR) AS elap
     "route_gappy": query(GAPPY, ROUTE_TOTALS),
     "segment_gappy": query(GAPPY, SEGMENTS),
     "priority_gappy": query(GAPPY, PRIORITY),
-    "event_daily": query(EVENT, DAILY),
-    "event_hourly": query(EVENT, HOURLY),
+    "event_daily": query(EVENT, daily(lambda x: dbl(plain(x)))),
+    "event_hourly": query(EVENT, hourly(plain, dbl)),
     "event_priority": query(EVENT, priority(14.0)),
     **{name: suite(MAIN, name) for name in SUITES},
     "checks_enriched_gappy": suite(GAPPY, "checks_enriched"),
@@ -658,8 +690,8 @@ QUALIFY row_number() OVER (PARTITION BY pickup_hour_of_the_day ORDER BY {ACTIVE}
         MAIN,
         f"""
 SELECT pickup_segment, avg_recorded_payment_usd,
-       (SELECT round({avg_of("total_amount::VARCHAR::DECIMAL(38,18)")}, 2) FROM enriched) AS all_trips_payment_usd, avg_trip_minutes,
-       (SELECT round({dbl(MINUTES)} / count(trip_duration_minutes), 2) FROM enriched) AS all_trips_minutes
+       (SELECT round({total("total_amount")} / count(total_amount), 2) FROM enriched) AS all_trips_payment_usd, avg_trip_minutes,
+       (SELECT round({total("trip_duration_minutes")} / count(trip_duration_minutes), 2) FROM enriched) AS all_trips_minutes
 FROM ({SEGMENTS})""",
     ),
     "hour_extremes": query(
@@ -694,8 +726,8 @@ SELECT pickup_zone, count(l_orderkey) AS trips, count(l_orderkey) - count(DISTIN
         GAPPY,
         f"""
 SELECT pickup_borough, count(*) FILTER (origin_id = dest_id) AS same_zone_trips,
-       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18)) FILTER (origin_id = dest_id)")} AS same_zone_amount,
-       {dbl("sum(total_amount::VARCHAR::DECIMAL(38,18)) FILTER (coalesce(origin_id <> dest_id, TRUE))")} AS cross_zone_amount,
+       {total("total_amount", "origin_id = dest_id")} AS same_zone_amount,
+       {total("total_amount", "coalesce(origin_id <> dest_id, TRUE)")} AS cross_zone_amount,
        {big("sum(party_size) FILTER (distance > 40)")} AS far_party
 FROM enriched GROUP BY 1""",
     ),

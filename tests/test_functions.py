@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripgrain.functions import logic
-from tripgrain.functions.numeric import exact_sum, mean, percent, ratio, round_to
+from tripgrain.functions.numeric import add_parts, exact_parts, exact_sum, mean, mean_of_parts, percent, ratio, round_to, sum_of_parts, with_values
 from tripgrain.functions.temporal import micros_between, seconds_between, to_minutes, with_interval_text
 
 PAIR = T.StructType([T.StructField("a", T.TimestampNTZType()), T.StructField("b", T.TimestampNTZType())])
@@ -82,45 +83,90 @@ def test_durations_ignore_the_session_zone(spark):
     assert (row.s, row.text) == (7200, "02:00:00")
 
 
+def nearest(values):
+    """The double nearest to the sum of the values as they are stored."""
+    known = [Fraction(v) for v in values if v is not None]
+    return float(sum(known)) if known else None
+
+
+def summed(spark, values, parts=3):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+    return df.agg(exact_sum(df, "x")).first()[0]
+
+
 def test_exact_sum_ignores_order_and_partitions(spark):
     values = [round(random.Random(7).uniform(-50, 500), 2) for _ in range(3000)] + [0.1] * 10
-    want = sum(Decimal(str(v)) for v in values)
     for parts in (1, 7):
-        df = spark.createDataFrame([(v,) for v in reversed(values)], "x double").repartition(parts)
-        assert df.agg(exact_sum(df, "x")).first()[0] == want
+        assert summed(spark, list(reversed(values)), parts) == nearest(values)
 
 
-def test_exact_sum_of_nulls_decimals_and_large_values(spark):
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3e-19] * 10, [1.8e20], [9e19, 9e19], [1e22, 3e-19, -1e22], [0.1, 0.2], [2.0**53, 1.0], [2.0**53, 3.0], [2.0**53, 1.0, 2.0**-60],
+        [-(2.0**53), -1.0, -(2.0**-100)], [2.0**53, 1.0, -(2.0**-100)], [1e16, 1.0, -1e16], [-1e16, -1.0, 1e16], [-3e-19] * 7, [1e23] * 9,
+        [5e-20 * k for k in range(-3, 9) if abs(k) > 6], [None, None], [None, 0.0, -0.0], [0.0000004] * 10, [],
+    ],
+)
+def test_exact_sum_is_the_nearest_double(spark, values):
+    assert summed(spark, values) == nearest(values)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.floats(-1e22, 1e22).filter(lambda v: v == 0 or abs(v) > 1e-18)), max_size=40))
+def test_exact_sum_of_any_doubles(spark, values):
+    assert summed(spark, values) == nearest(values)
+
+
+def test_exact_sum_of_nulls_and_decimals(spark):
     df = spark.createDataFrame([(1, None, None), (1, None, None), (2, 1e12, 3), (2, -0.000001, 4)], "k int, x double, n int")
     got = {r.k: (r.x, r.n) for r in df.groupBy("k").agg(exact_sum(df, "x").alias("x"), exact_sum(df, "n").alias("n")).collect()}
-    assert got == {1: (None, None), 2: (Decimal("999999999999.999999"), 7)}
+    assert got == {1: (None, None), 2: (nearest([1e12, -0.000001]), 7)}
     money = df.select(F.col("x").cast("decimal(24,6)").alias("x"))
     assert money.agg(exact_sum(money, "x")).first()[0] == Decimal("999999999999.999999")
 
 
-def test_exact_sum_refuses_values_that_are_not_finite(spark):
+def test_exact_sum_refuses_what_it_can_not_keep(spark):
     ansi = spark.conf.get("spark.sql.ansi.enabled")
     try:
         for setting in ("true", "false"):
             spark.conf.set("spark.sql.ansi.enabled", setting)
-            for value in (float("nan"), float("inf"), float("-inf"), 3e20):
-                df = spark.createDataFrame([(1.0,), (value,)], "x double")
-                with pytest.raises(Exception, match="can't be summed"):
-                    df.agg(exact_sum(df, "x")).collect()
+            for value in (float("nan"), float("inf"), float("-inf"), 3e23, -3e23, 1e-30):
+                for form in (exact_sum, exact_parts):
+                    df = spark.createDataFrame([(1.0,), (value,)], "x double")
+                    with pytest.raises(Exception, match="can't be summed"):
+                        df.agg(form(df, "x")).collect()
+            assert summed(spark, [9e19, 9e19, 0.5]) == 1.8e20
     finally:
         spark.conf.set("spark.sql.ansi.enabled", ansi)
 
 
-def test_exact_sum_keeps_small_values(spark):
-    df = spark.createDataFrame([(0.0000004,)] * 10, "x double")
-    assert df.agg(exact_sum(df, "x")).first()[0] == Decimal("0.000004")
+def test_parts_add_up_at_any_grain(spark):
+    dice = random.Random(11)
+    rows = [(dice.randrange(5), dice.randrange(7), dice.uniform(-1, 1) * 10 ** dice.randint(-6, 9) if dice.random() < 0.8 else None) for _ in range(800)]
+    rows += [(9, 0, None), (9, 1, None)]
+    df = spark.createDataFrame(rows, "a int, b int, odd`name double".replace("odd`name", "x")).repartition(5)
+    fine = df.groupBy("a", "b").agg(exact_parts(df, "x").alias("x"))
+    shown = {(r.a, r.b): r.x for r in with_values(fine).collect()}
+    assert shown == {k: nearest([v for a, b, v in rows if (a, b) == k]) for k in shown}
+    coarse = fine.groupBy("a").agg(add_parts(fine, "x").alias("x"))
+    by_a = {r.a: r.x for r in with_values(coarse).collect()}
+    assert by_a == {k: nearest([v for a, _, v in rows if a == k]) for k in by_a} and by_a[9] is None
+    row = coarse.agg(sum_of_parts(coarse, "x"), mean_of_parts(coarse, "x")).first()
+    assert row[0] == nearest([v for *_, v in rows]) and row[1] == row[0] / 5
+
+
+def test_exact_sum_of_an_odd_column_name(spark):
+    df = spark.createDataFrame([(0.5,), (0.25,)], "`it's a ``x``.y` double")
+    assert df.agg(exact_sum(df, "it's a `x`.y")).first()[0] == 0.75
+    with pytest.raises(Exception, match="it's a `x`.y can't be summed"):
+        df.select((F.col("`it's a ``x``.y`") * float("inf")).alias("it's a `x`.y")).transform(lambda d: d.agg(exact_sum(d, "it's a `x`.y"))).collect()
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=30))
 def test_exact_sum_of_cents(spark, cents):
-    df = spark.createDataFrame([(c / 100,) for c in cents], "x double")
-    assert df.agg(exact_sum(df, "x")).first()[0] == Decimal(sum(cents)) / 100
+    assert summed(spark, [c / 100 for c in cents]) == nearest([c / 100 for c in cents])
 
 
 def test_ratios_and_means(spark):

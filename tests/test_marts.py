@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 from datetime import timedelta
-from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import WEEK, trip
@@ -42,7 +42,7 @@ def grouped(rows, key):
 
 
 def exact(rows, field):
-    known = [Decimal(str(r[field])) for r in rows if r[field] is not None]
+    known = [Fraction(r[field]) for r in rows if r[field] is not None]
     return float(sum(known)) if known else None
 
 

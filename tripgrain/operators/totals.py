@@ -2,7 +2,8 @@
 
 Every report is an aggregate of these totals, so a report needs one pass over the trips at its own grain,
 or none when it rolls up totals that are already stored at a finer grain. Rows leave each mapper already
-combined: a key that holds a third of all trips reaches the shuffle as one row per task.
+combined: a key that holds a third of all trips reaches the shuffle as one row per task. Sums of doubles stay in limbs
+(`functions.numeric`), so totals add up without rounding at whatever grain; reports turn them into doubles at the end.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import exact_sum
+from tripgrain.functions.numeric import add_parts, exact_parts
 from tripgrain.spec import CROSS_ZONE, SAME_ZONE, TripSpec
 
 COUNTS = (
@@ -53,13 +54,13 @@ def trip_totals(enriched: DataFrame, spec: TripSpec, *keys: str) -> DataFrame:
         F.count_if(F.col(spec.origin_id) == F.col(spec.dest_id)).alias("same_place_trips"),
         F.count_if(F.col(spec.origin_id) != F.col(spec.dest_id)).alias("other_place_trips"),
         F.sum(spec.party).alias("passengers"),
-        exact_sum(trips, spec.fare).alias("fares"),
-        exact_sum(trips, spec.total).alias("payments"),
-        exact_sum(trips, spec.distance).alias("miles"),
-        exact_sum(trips, "trip_duration_minutes").alias("minutes"),
+        exact_parts(trips, spec.fare).alias("fares"),
+        exact_parts(trips, spec.total).alias("payments"),
+        exact_parts(trips, spec.distance).alias("miles"),
+        exact_parts(trips, "trip_duration_minutes").alias("minutes"),
     )
 
 
 def roll_up(totals: DataFrame, *keys: str) -> DataFrame:
     """The same totals at a coarser grain; without a shuffle when the grain is unchanged."""
-    return totals.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in (*COUNTS, *SUMS)))
+    return totals.groupBy(*keys).agg(*(add_parts(totals, c).alias(c) for c in (*COUNTS, *SUMS)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import percent, ratio, round_to
+from tripgrain.functions.numeric import percent, ratio, round_to, sum_of_parts
 from tripgrain.operators.joins import only_row
 from tripgrain.operators.rank import first_in
 from tripgrain.operators.staging import VALID
@@ -92,8 +92,8 @@ def segment_vs_all(segments: DataFrame, totals: DataFrame) -> DataFrame:
     """Each segment's means against those of all eligible trips; `totals` may have any grain."""
     overall = only_row(
         totals.agg(
-            ratio(F.sum("payments"), F.sum("paid_trips")).alias("payment"),
-            ratio(F.sum("minutes"), F.sum("timed_trips")).alias("minutes"),
+            ratio(sum_of_parts(totals, "payments"), F.sum("paid_trips")).alias("payment"),
+            ratio(sum_of_parts(totals, "minutes"), F.sum("timed_trips")).alias("minutes"),
         )
     )
     return segments.withColumn("overall", overall).select(

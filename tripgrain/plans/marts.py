@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import as_double, mean, percent, ratio, round_to
+from tripgrain.functions.numeric import as_double, mean, mean_of_parts, percent, ratio, round_to, sum_of_parts, with_values
 from tripgrain.operators.joins import null_safe_join, only_row
 from tripgrain.operators.rank import first_in, top
 from tripgrain.operators.totals import ROUTE, roll_up, trip_totals
@@ -20,7 +20,7 @@ from tripgrain.spec import TripSpec
 
 def daily_demand_revenue(totals: DataFrame, spec: TripSpec) -> DataFrame:
     """Per pickup date, unrounded; the party mean is over trips that report a party."""
-    days = roll_up(totals, "pickup_date")
+    days = with_values(roll_up(totals, "pickup_date"))
     return days.select(
         "pickup_date",
         F.col("trips").alias("daily_trip_count"),
@@ -33,7 +33,7 @@ def daily_demand_revenue(totals: DataFrame, spec: TripSpec) -> DataFrame:
 
 def zone_performance(totals: DataFrame, spec: TripSpec) -> DataFrame:
     """Per zone *name* and borough: locations that share a name are one row."""
-    zones = roll_up(totals, "pickup_zone", "pickup_borough")
+    zones = with_values(roll_up(totals, "pickup_zone", "pickup_borough"))
     return zones.select(
         F.col("trips").alias("total_trip_count"),
         "pickup_zone",
@@ -48,7 +48,7 @@ def zone_performance(totals: DataFrame, spec: TripSpec) -> DataFrame:
 def hourly_demand(totals: DataFrame, spec: TripSpec) -> DataFrame:
     """Per hour of day. Daily means are over the dates on which the hour was observed."""
     date_hours = roll_up(totals, "pickup_date", "pickup_hour")
-    total = {c: F.sum(c) for c in ("trips", "reported_trips", "passengers", "fares", "payments", "miles", "minutes")}
+    total = {c: sum_of_parts(date_hours, c) for c in ("trips", "reported_trips", "passengers", "fares", "payments", "miles", "minutes")}
     return date_hours.groupBy("pickup_hour").agg(
         F.count(F.lit(1)).alias("days_observed"),
         total["trips"].alias("total_trips"),
@@ -58,9 +58,9 @@ def hourly_demand(totals: DataFrame, spec: TripSpec) -> DataFrame:
         round_to(percent(total["reported_trips"], total["trips"]), 2).alias("passenger_count_coverage_pct"),
         round_to(ratio(total["passengers"], total["reported_trips"]), 2).alias("avg_passengers_per_reported_trip"),
         round_to(total["fares"], 2).alias("total_metered_fares"),
-        round_to(mean(F.col("fares")), 2).alias("avg_daily_metered_fares"),
+        round_to(mean_of_parts(date_hours, "fares"), 2).alias("avg_daily_metered_fares"),
         round_to(total["payments"], 2).alias("total_passenger_amount"),
-        round_to(mean(F.col("payments")), 2).alias("avg_daily_passenger_amount"),
+        round_to(mean_of_parts(date_hours, "payments"), 2).alias("avg_daily_passenger_amount"),
         round_to(ratio(total["payments"], total["trips"]), 2).alias("avg_passenger_amount_per_trip"),
         round_to(ratio(total["miles"], total["trips"]), 2).alias("avg_trip_distance_miles"),
         round_to(ratio(total["minutes"], total["trips"]), 2).alias("avg_trip_duration_minutes"),
@@ -69,7 +69,7 @@ def hourly_demand(totals: DataFrame, spec: TripSpec) -> DataFrame:
 
 def zone_hourly_demand(totals: DataFrame, spec: TripSpec) -> DataFrame:
     """Unrounded detail per date, hour and zone."""
-    cells = roll_up(totals, "pickup_date", "pickup_hour", "pickup_borough", "pickup_zone")
+    cells = with_values(roll_up(totals, "pickup_date", "pickup_hour", "pickup_borough", "pickup_zone"))
     return cells.select(
         "pickup_date",
         "pickup_hour",
@@ -89,15 +89,15 @@ def zone_hourly_performance(totals: DataFrame, spec: TripSpec) -> DataFrame:
     return cells.groupBy(F.col("pickup_hour").alias("pickup_hour_of_the_day"), "pickup_zone", "pickup_borough").agg(
         round_to(mean(F.col("trips"))).alias("avg_trips_per_active_day"),
         round_to(mean(F.col("passengers"))).alias("avg_reported_passengers_per_active_day"),
-        round_to(mean(F.col("payments"))).alias("avg_passenger_amount_per_active_day"),
-        round_to(mean(F.col("miles"))).alias("avg_trip_miles_per_active_day"),
-        round_to(mean(F.col("minutes"))).alias("avg_trip_minutes_per_active_day"),
+        round_to(mean_of_parts(cells, "payments")).alias("avg_passenger_amount_per_active_day"),
+        round_to(mean_of_parts(cells, "miles")).alias("avg_trip_miles_per_active_day"),
+        round_to(mean_of_parts(cells, "minutes")).alias("avg_trip_minutes_per_active_day"),
     )
 
 
 def route_performance(totals: DataFrame, spec: TripSpec) -> DataFrame:
     """Unrounded totals per pair of zone names and category; the category compares location IDs."""
-    routes = roll_up(totals, "pickup_zone", "dropoff_zone", "route_category")
+    routes = with_values(roll_up(totals, "pickup_zone", "dropoff_zone", "route_category"))
     return routes.select(
         "pickup_zone",
         "dropoff_zone",
@@ -164,16 +164,15 @@ def airport_comparison(totals: DataFrame, spec: TripSpec) -> DataFrame:
     segment = F.lit(spec.other_segment)
     for location, label in reversed(spec.segments):
         segment = F.when(F.col("origin_id") == location, label).otherwise(segment)
-    return (
-        totals.withColumn("pickup_segment", segment)
-        .groupBy("pickup_segment")
-        .agg(
-            F.sum("trips").alias("total_trips"),
-            round_to(ratio(F.sum("payments"), F.sum("paid_trips")), 2).alias("avg_recorded_payment_usd"),
-            round_to(ratio(F.sum("minutes"), F.sum("timed_trips")), 2).alias("avg_trip_minutes"),
-            round_to(ratio(F.sum("miles"), F.sum("measured_trips")), 2).alias("avg_trip_miles"),
-            round_to(F.sum("payments"), 2).alias("total_recorded_payment_usd"),
-        )
+    segments = with_values(roll_up(totals.withColumn("pickup_segment", segment), "pickup_segment"))
+    c = F.col
+    return segments.select(
+        "pickup_segment",
+        c("trips").alias("total_trips"),
+        round_to(ratio(c("payments"), c("paid_trips")), 2).alias("avg_recorded_payment_usd"),
+        round_to(ratio(c("minutes"), c("timed_trips")), 2).alias("avg_trip_minutes"),
+        round_to(ratio(c("miles"), c("measured_trips")), 2).alias("avg_trip_miles"),
+        round_to(c("payments"), 2).alias("total_recorded_payment_usd"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.functions.numeric import as_double, percent, ratio
+from tripgrain.functions.numeric import as_double, percent, ratio, sum_of_parts
 from tripgrain.operators.joins import only_row
 from tripgrain.operators.rank import top
 from tripgrain.spec import TripSpec
@@ -41,7 +41,7 @@ def summary(totals: DataFrame, zones: DataFrame, staged: DataFrame, spec: TripSp
         F.asc_nulls_last("pickup_borough"),
     )
     facts = totals.agg(
-        *(F.sum(c).alias(c) for c in ("trips", "reported_trips", "paid_trips", "timed_trips", "payments", "minutes"))
+        *(sum_of_parts(totals, c).alias(c) for c in ("trips", "reported_trips", "paid_trips", "timed_trips", "payments", "minutes"))
     ).withColumns(
         {
             "leaders": only_row(leaders.agg(F.sum("total_trip_count").alias("trips"))),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.functions.logic import all_of, any_of, differs, is_false, is_not_true, is_true, known
-from tripgrain.functions.numeric import exact_sum, ratio, round_to
+from tripgrain.functions.numeric import add_parts, exact_parts, exact_sum, ratio, round_to, sum_of_parts, with_values
 from tripgrain.operators.checks import (
     check_rows,
     equal,
@@ -89,10 +89,6 @@ def direct_evidence(
     )
 
 
-# 18 decimals: a double of a cent or more keeps all its digits
-WIDE = "decimal(38,18)"
-
-
 def expected_totals(enriched: DataFrame, spec: TripSpec, *keys: str) -> DataFrame:
     """Counts and sums per key, written out on the trips' own columns; shares no code with the reports' totals."""
     same = f"`{spec.origin_id}` = `{spec.dest_id}`"
@@ -109,13 +105,13 @@ def expected_totals(enriched: DataFrame, spec: TripSpec, *keys: str) -> DataFram
         F.expr(f"sum(`{spec.party}`)").alias("passengers"),
         F.expr(f"count(CASE WHEN {same} THEN 1 END)").alias("same_place_trips"),
         F.expr(f"count(CASE WHEN `{spec.origin_id}` <> `{spec.dest_id}` THEN 1 END)").alias("other_place_trips"),
-        *(F.expr(f"sum(cast(`{c}` AS {WIDE}))").alias(name) for name, c in sums.items()),
+        *(exact_parts(enriched, c).alias(name) for name, c in sums.items()),
     )
 
 
 def regrouped(totals: DataFrame, *keys: str) -> DataFrame:
     """Expected totals at a coarser grain."""
-    return totals.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in totals.columns if c not in (*keys, *DIMENSIONS)))
+    return totals.groupBy(*keys).agg(*(add_parts(totals, c).alias(c) for c in totals.columns if c not in (*keys, *DIMENSIONS)))
 
 
 # Whatever a grain of expected totals may hold; all other columns add up.
@@ -259,7 +255,7 @@ def checks_daily(e: Evidence) -> DataFrame:
     report = e.marts["daily_demand_revenue"]
     days = regrouped(e.totals(("pickup_date",)), "pickup_date")
     source = days.agg(
-        _count("trips"), F.sum("fares").alias("fares"), F.sum("payments").alias("payments"),
+        _count("trips"), sum_of_parts(days, "fares").alias("fares"), sum_of_parts(days, "payments").alias("payments"),
         F.sum("passengers").alias("passengers"), F.count("pickup_date").alias("dates"),
     )
     wrong = null_safe_join(report, days, ["pickup_date"]).agg(
@@ -295,7 +291,7 @@ def checks_zones(e: Evidence) -> DataFrame:
     keys = ["pickup_zone", "pickup_borough"]
     zones = regrouped(e.totals(tuple(keys)), *keys)
     source = zones.agg(
-        _count("trips"), F.sum("fares").alias("fares"), F.sum("payments").alias("payments"),
+        _count("trips"), sum_of_parts(zones, "fares").alias("fares"), sum_of_parts(zones, "payments").alias("payments"),
         F.sum("passengers").alias("passengers"), F.count(F.lit(1)).alias("zones"),
     )
     expected = round_to(ratio(F.col("passengers"), F.col("reported_trips")), 2)
@@ -335,12 +331,13 @@ def checks_hourly(e: Evidence) -> DataFrame:
     date_hours = regrouped(e.totals(("pickup_date", "pickup_hour")), "pickup_date", "pickup_hour")
     sums = ("trips", "reported_trips", "passengers", "fares", "payments", "miles", "minutes")
     hours = date_hours.groupBy("pickup_hour").agg(
-        F.count("pickup_date").alias("days"), *(F.sum(c).alias(c) for c in sums)
+        F.count("pickup_date").alias("days"), *(add_parts(date_hours, c).alias(c) for c in sums)
     )
     source = hours.agg(
-        _count("trips"), F.sum("passengers").alias("passengers"), F.sum("fares").alias("fares"),
-        F.sum("payments").alias("payments"), F.count("pickup_hour").alias("hours"),
+        _count("trips"), F.sum("passengers").alias("passengers"), sum_of_parts(hours, "fares").alias("fares"),
+        sum_of_parts(hours, "payments").alias("payments"), F.count("pickup_hour").alias("hours"),
     )
+    hours = with_values(hours)
     c = F.col
     formulas = {
         "avg_daily_trips": round_to(ratio(c("trips"), c("days")), 2),
@@ -387,7 +384,7 @@ def checks_zone_hourly(e: Evidence) -> DataFrame:
     groups = regrouped(e.totals(tuple(cell)), *cell)
     source = groups.agg(
         _count("trips"),
-        *(F.sum(c).alias(c) for c in ("passengers", "payments", "miles", "minutes")),
+        *(sum_of_parts(groups, c).alias(c) for c in ("passengers", "payments", "miles", "minutes")),
         F.count(F.lit(1)).alias("cells"),
     )
     c = F.col
@@ -443,7 +440,7 @@ def checks_routes(e: Evidence) -> DataFrame:
     groups = regrouped(e.totals(ROUTE), *ROUTE)
     source = groups.agg(
         *(_count(c) for c in ("trips", "same_place_trips", "other_place_trips")),
-        *(F.sum(c).alias(c) for c in ("payments", "miles", "minutes")),
+        *(sum_of_parts(groups, c).alias(c) for c in ("payments", "miles", "minutes")),
         F.count(F.lit(1)).alias("routes"),
     )
     c = F.col
@@ -493,7 +490,7 @@ def checks_presentation(e: Evidence) -> DataFrame:
     segments, windows = e.marts["airport_comparison"], e.marts["priority_windows"]
     cells = e.totals(("pickup_date", "pickup_hour", "origin_id"))
     source = cells.agg(
-        _count("trips"), F.sum("payments").alias("payments"),
+        _count("trips"), sum_of_parts(cells, "payments").alias("payments"),
         F.min("pickup_date").alias("first"), F.max("pickup_date").alias("last"),
     )
     # trips of each listed location in its peak hour, zero where there are none
