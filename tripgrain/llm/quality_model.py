@@ -22,7 +22,7 @@ DIRECTIONS = 48
 NEIGHBOURS = 15
 SHARPNESS = 8  # power of the similarity that a vote counts
 THRESHOLD = 0.7  # fixed by the contract
-BLOCK = 2048
+BLOCK = 512  # rows that a task holds features of at a time
 
 # Ten classes of bytes; multi-byte characters are letters.
 CLASSES = np.full(256, 9, np.uint8)
@@ -125,8 +125,10 @@ def score_quality(docs: DataFrame, model: NearestModel, text: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = np.array([shapes(t) for t in batch.column(len(rest)).to_pylist()], np.float32).reshape(-1, SHAPES)
-            scores = held.value.score(counts)
+            texts, scores = batch.column(len(rest)), np.zeros(batch.num_rows)
+            for a in range(0, len(texts), BLOCK):
+                counts = np.array([shapes(t) for t in texts.slice(a, BLOCK).to_pylist()], np.float32).reshape(-1, SHAPES)
+                scores[a : a + BLOCK] = held.value.score(counts)
             columns = [*(batch.column(k) for k in range(len(rest))), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, "score", "predicted"])
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_BYTES = 48 << 20  # of remembered pieces; then a worker starts anew, and keeps these until it does so again
+MEMO_BYTES = 40 << 20  # of remembered pieces; then a worker starts anew, and keeps these until it does so again
 MEMO_CHARS = 48  # longer pieces are not remembered
 ENTRY_BYTES = 160  # of an entry, besides its characters and ids
 SEEN = (1 << 22) + 1  # flags that tell, by a hash, whether a piece has been met since the last start
@@ -39,7 +39,7 @@ PROBES = ["The", "quick", "straße", "ÀÉÿ", "x", "Zz"]
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.memo, self.older, self.held, self.seen = Tokenizer.from_file(path), {}, {}, 0, bytearray(SEEN)
         plan = json.loads(self.tokenizer.to_str())
@@ -48,16 +48,27 @@ class Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # characters that an id stands for
         for token, k in vocabulary.items():
             self.sizes[k] = len(token.removesuffix(suffix))
-        # the model alone, for words of Latin letters already written as the pre-tokenizer would
+        # words of Latin letters are written as the pre-tokenizer would, and go to the model alone
         written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {chr(c): written.pre_tokenize_str(chr(c))[0][0] for c in range(192, 256) if chr(c).isalpha()}
         self.lower = "Lowercase" in json.dumps(plan["normalizer"])
         self.space = "" if suffix else written.pre_tokenize_str(" ")[0][0]
-        plan |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
-        self.model = Tokenizer.from_str(json.dumps(plan))
+        self.whole = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.alone = (normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit())
+        self.direct = True
         probes = [BARE + PROBES[0], *PROBES[1:]]
-        if b"".join(self._words(probes)) != self._plain([" ".join(PROBES)])[0]:
-            self.model = None  # another kind of tokenizer: words go through all of it
+        # another kind of tokenizer: words go through all of it
+        self.direct = b"".join(self._words(probes)) == self._plain([" ".join(PROBES)])[0]
+
+    def _model_ids(self, forms: str) -> list[int]:
+        """Ids of written words between spaces; a second tokenizer without the first steps would hold its tables twice."""
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.alone
+        try:
+            return self.tokenizer.encode_batch_fast([forms], add_special_tokens=False)[0].ids
+        finally:
+            if self.whole[0] is not None:
+                self.tokenizer.normalizer = self.whole[0]
+            self.tokenizer.pre_tokenizer = self.whole[1]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
@@ -65,7 +76,7 @@ class Encoder:
 
     def _words(self, keys: list[str]) -> list[bytes]:
         """Words of Latin letters, after a space or not: encoded as one text, then cut by the characters that ids stand for."""
-        if self.model is None:
+        if not self.direct:
             return self._plain([_text_of(k) for k in keys])
         if not keys:
             return []
@@ -75,7 +86,7 @@ class Encoder:
         for letter in sorted(set(whole) - ASCII, key=lambda c: c != "Ã"):
             whole = whole.replace(letter, self.letters[letter])
         forms = [k[1:] if k[0] == BARE else self.space + k for k in whole.split(" ")]
-        ids = np.array(self.model.encode_batch_fast([" ".join(forms)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self._model_ids(" ".join(forms)), "<u4")
         ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, forms), np.int64, len(forms)))
         last = np.searchsorted(ends, wanted)
         if not len(ends) or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
