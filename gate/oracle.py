@@ -755,7 +755,8 @@ SELECT unnest(['summary', 'quality_checks', 'daily_demand_revenue', 'hourly_dema
                'zone_hourly_performance', 'priority_windows', 'airport_comparison']) AS dataset,
        unnest([1, 66, count(DISTINCT pickup_date), count(DISTINCT {HOUR}), count(DISTINCT (pickup_zone, pickup_borough)),
                count(DISTINCT ({HOUR}, pickup_zone, pickup_borough)), 5,
-               count(DISTINCT CASE WHEN origin_id IN (3, 8) THEN origin_id ELSE -1 END)]) AS documents
+               count(DISTINCT CASE WHEN origin_id IN (3, 8) THEN origin_id ELSE -1 END)]) AS documents,
+       'PASS' AS evidence_status
 FROM enriched""",
     ),
     "verified_extract": query(
@@ -770,4 +771,29 @@ SELECT count(DISTINCT ({HOUR}, pickup_zone, pickup_borough)) AS rows_stored,
 SELECT count(DISTINCT (pickup_zone, dropoff_zone, {CATEGORY})) AS rows_read, CAST(0 AS BIGINT) AS rows_broken,
        'PASS' AS contract_status FROM enriched""",
     ),
+    # a refresh publishes what the queries above compute
+    "refresh_stopped": query(
+        MAIN, "SELECT 1 AS version, count(*) AS eligible_trips, TRUE AS stopped, 0 AS folders_left FROM enriched"
+    ),
+    "published_positions": query(
+        MAIN,
+        f"""
+SELECT 'daily_demand_revenue' AS dataset, row_number() OVER (ORDER BY pickup_date) - 1 AS position, pickup_date::VARCHAR AS sort_key
+FROM (SELECT DISTINCT pickup_date FROM enriched)
+UNION ALL
+SELECT 'hourly_demand', row_number() OVER (ORDER BY h) - 1, h::VARCHAR FROM (SELECT DISTINCT {HOUR} AS h FROM enriched)
+UNION ALL
+SELECT 'zone_performance', row_number() OVER (ORDER BY n DESC, pickup_zone NULLS LAST, pickup_borough NULLS LAST) - 1,
+       n || '|' || coalesce(pickup_zone, '-') || '|' || coalesce(pickup_borough, '-')
+FROM (SELECT pickup_zone, pickup_borough, count(*) AS n FROM enriched GROUP BY ALL)
+UNION ALL
+SELECT 'zone_hourly_performance', row_number() OVER (ORDER BY pickup_zone NULLS LAST, h, pickup_borough NULLS LAST) - 1,
+       coalesce(pickup_zone, '-') || '|' || h || '|' || coalesce(pickup_borough, '-')
+FROM (SELECT DISTINCT pickup_zone, {HOUR} AS h, pickup_borough FROM enriched)
+UNION ALL
+SELECT 'airport_comparison', row_number() OVER (ORDER BY s) - 1, s
+FROM (SELECT DISTINCT CASE origin_id WHEN 3 THEN 'Hub three' WHEN 8 THEN 'Hub eight' ELSE 'Other origins' END AS s FROM enriched)""",
+    ),
 }
+ORACLE["refresh_enriched"] = ORACLE["enriched_trips"]
+ORACLE["refresh_reports"] = ORACLE["zone_hour_performance"]

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from gate import binding as b
 from tripgrain.functions.numeric import as_double, exact_sum
 from tripgrain.functions.temporal import micros_between, seconds_between, to_minutes, with_interval_text
+from tripgrain.operators.checks import ChecksFailed
 from tripgrain.operators.enrich import LABELS, enrich
 from tripgrain.operators.joins import null_safe_join
+from tripgrain.operators.positions import read_in_order
 from tripgrain.operators.staging import VALID, clean_trips
 from tripgrain.operators.totals import PLACE_HOUR, ROUTE, trip_totals, with_keys
 from tripgrain.plans import insights, profiles, published
 from tripgrain.plans.marts import REPORTS, all_marts, mart
-from tripgrain.plans.refresh import stored_evidence
+from tripgrain.plans.refresh import published_dataset, read_enriched, run_refresh, stored_evidence
 from tripgrain.plans.suites import SUITES, Evidence, all_checks, direct_evidence, gate
 from tripgrain.session import durable, run_dir
-from tripgrain.sinks import contract_violations, read_csv_back, verified_extract, write_csv, write_evidence
+from tripgrain.sinks import contract_violations, manifest, read_csv_back, verified_evidence, verified_extract, write_csv
 from tripgrain.sources import read_lookup
 from tripgrain.spec import TripSpec
 from tripgrain.views import register_views
@@ -62,7 +64,7 @@ def _report(name: str, source: Callable[[SparkSession, str], DataFrame] = enrich
 def _evidence(spark: SparkSession, d: str, gappy: bool = False, store: bool = False) -> Evidence:
     """`store` keeps the enriched trips, as the pipeline does; a suite on its own aggregates them where they are."""
     make, places = (b.gappy_trips, b.short_lookup) if gappy else (b.raw_trips, b.lookup)
-    trips, lookup = make(spark, d, SPEC), places(spark, d)
+    trips, lookup = make(spark, d), places(spark, d)  # of all years: the period is the checks' business
     clean = clean_trips(trips, SPEC)
     columns = [*SPEC.trip_columns, "trip_duration_minutes", VALID, *LABELS, "pickup_date"]
     labelled = enrich(clean, lookup, SPEC).select(*columns)
@@ -215,12 +217,12 @@ def export_contract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def extract(spark: SparkSession, d: str) -> DataFrame:
-    report = published.ordered(_report("zone_hourly_performance")(spark, d), "zone_hourly_performance")
-    return verified_extract(report, run_dir(spark, "zone-hours"))
+    name = "zone_hourly_performance"
+    return verified_extract(_report(name)(spark, d), run_dir(spark, "zone-hours"), published.ORDER[name])
 
 
 def evidence_json(spark: SparkSession, d: str) -> DataFrame:
-    """Summary, check rows and reports as JSON lines, read back and counted."""
+    """Summary, check rows and reports as JSON lines, read back: counted, and compared with what was written."""
     e = _evidence(spark, d, store=True)
     place_hours = durable(trip_totals(e.enriched, SPEC, *PLACE_HOUR), "place-hours")
     routes = durable(trip_totals(e.enriched, SPEC, *ROUTE), "routes")
@@ -230,14 +232,58 @@ def evidence_json(spark: SparkSession, d: str) -> DataFrame:
         "quality_checks": all_checks(stored_evidence(SPEC, e.trips, e.staged, e.lookup, e.enriched, marts)),
     }
     datasets.update({name: marts[name] for name in published.ORDER if name in marts})
-    paths = write_evidence(datasets, run_dir(spark, "evidence"))
-    counts = (
-        spark.read.schema(datasets[name].schema)
-        .json(path)
-        .agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("documents"))
-        for name, path in paths.items()
-    )
-    return reduce(DataFrame.unionByName, counts)
+    return verified_evidence(datasets, run_dir(spark, "evidence"))
+
+
+# --- the whole refresh ----------------------------------------------------------------------------------
+
+_refreshed: dict[tuple[str, str], str] = {}
+
+
+def _refresh(spark: SparkSession, d: str) -> str:
+    """Where the refresh of these tables has published; it runs once a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _refreshed:
+        out = run_dir(spark, "refresh")
+        run_refresh(b.raw_trips(spark, d), b.lookup(spark, d), SPEC, out)
+        _refreshed[key] = out
+    return _refreshed[key]
+
+
+def refresh_enriched(spark: SparkSession, d: str) -> DataFrame:
+    """The enriched trips as published."""
+    return read_enriched(spark, _refresh(spark, d), SPEC)
+
+
+def refresh_reports(spark: SparkSession, d: str) -> DataFrame:
+    """A report as published in CSV."""
+    path = published_dataset(spark, _refresh(spark, d), "csv/zone_hourly_performance")
+    return read_csv_back(spark, path, _report("zone_hourly_performance")(spark, d).schema)
+
+
+def refresh_stopped(spark: SparkSession, d: str) -> DataFrame:
+    """What readers find after a refresh that its checks have stopped: the version before, and no other files."""
+    out = _refresh(spark, d)
+    try:
+        run_refresh(b.gappy_trips(spark, d), b.short_lookup(spark, d), SPEC, out)
+        stopped = False
+    except ChecksFailed:
+        stopped = True
+    trips = read_enriched(spark, out, SPEC).agg(F.count(F.lit(1)).alias("eligible_trips"))
+    unused = len(manifest.drop_unused(spark, out))
+    return trips.withColumns({"version": F.lit(manifest.current(spark, out).number), "stopped": F.lit(stopped), "folders_left": F.lit(unused)})
+
+
+def published_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of published datasets with their place in the files."""
+    out = _refresh(spark, d)
+    shown = []
+    for name in ("daily_demand_revenue", "hourly_demand", "zone_performance", "zone_hourly_performance", "airport_comparison"):
+        path = published_dataset(spark, out, f"extract/{name}")
+        rows = read_in_order(spark, path, spark.read.parquet(path).schema)
+        keys = (F.coalesce(F.col(k.removeprefix("-")).cast("string"), F.lit("-")) for k in published.ORDER[name])
+        shown.append(rows.select(F.lit(name).alias("dataset"), "position", F.concat_ws("|", *keys).alias("sort_key")))
+    return reduce(DataFrame.unionByName, shown)
 
 
 QUERIES: dict[str, Query] = {
@@ -311,4 +357,9 @@ QUERIES: dict[str, Query] = {
     "evidence_json": evidence_json,
     "verified_extract": extract,
     "export_contract": export_contract,
+    # the whole refresh
+    "refresh_enriched": refresh_enriched,
+    "refresh_reports": refresh_reports,
+    "refresh_stopped": refresh_stopped,
+    "published_positions": published_positions,
 }

@@ -1,5 +1,6 @@
 """The physical plans that make the jobs scale."""
 
+from datetime import datetime
 import re
 
 import pytest
@@ -11,7 +12,9 @@ from tripgrain.operators import enrich as enrich_module
 from tripgrain.operators.enrich import enrich
 from tripgrain.operators.staging import clean_trips
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.refresh import gathered, read_enriched, write_enriched
+from tripgrain.plans.refresh import gathered, read_enriched, read_staged, trips_schema, write_trips
+from tripgrain.sinks import manifest
+from tripgrain.spec import TripSpec
 
 
 def physical(df):
@@ -87,17 +90,23 @@ def test_peak_hours_keep_one_row_per_key_and_task(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_only_raw_columns_of_eligible_trips_are_shuffled(stored):
+def test_only_raw_columns_of_the_period_are_shuffled(stored):
     plan = physical(gathered(stored, WEEK))
     exchange, below = plan.split("REBALANCE_PARTITIONS_BY_COL", 1)
     assert "trip_duration" not in below and "Filter" in below and plan.count("Exchange") == 1
 
 
 def test_stored_dates_are_pruned(spark, trips_of, places, tmp_path):
-    path = str(tmp_path / "enriched")
-    write_enriched(trips_of([trip()]), places, WEEK, path)
-    plan = physical(read_enriched(spark, path, WEEK))
-    assert "pickup_date" in re.search(r"PartitionFilters: \[(.*?)\], Pushed", plan).group(1)
+    out, wide = str(tmp_path / "out"), TripSpec(period_start=WEEK.period_start, period_end=datetime(2026, 1, 19))
+    folder = manifest.fresh_folder(out)
+    rows = trips_of([trip(), trip(distance=-1.0), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")])
+    assert write_trips(rows, places, wide, folder) == 3
+    manifest.publish(spark, out, trips_schema(rows, places, wide), manifest.written_partitions(spark, out, folder), lambda key: True, {}, None)
+    read = read_enriched(spark, out, WEEK)
+    # eligible trips of the week's one date: no other folder is named in the plan, and the period reaches the scan
+    assert {f.rsplit("/", 2)[1] for f in read.inputFiles()} == {"part=2026-01-05"}
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in physical(read) and read.count() == 1
+    assert read_staged(spark, out, wide).count() == 3
 
 
 @pytest.mark.parametrize("name", ["checks_daily", "checks_zones", "checks_hourly", "checks_routes", "checks_presentation", "summary"])

@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
@@ -9,16 +11,19 @@ from pyspark.sql import types as T
 
 from tripgrain.operators.checks import ChecksFailed
 from tripgrain.operators.enrich import enrich
+from tripgrain.operators.fingerprint import fingerprint
+from tripgrain.operators.positions import read_in_order
 from tripgrain.operators.rank import top
 from tripgrain.operators.staging import clean_trips
 from tripgrain.operators.totals import trip_totals
 from tripgrain.plans import insights, published
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.refresh import read_enriched, replace_period, run_refresh, write_enriched
+from tripgrain.plans.refresh import published_dataset, read_enriched, read_staged, run_refresh, trips_schema, write_trips
 from tripgrain.session import drop_copies, durable, run_dir, shared_dir
-from tripgrain.sinks import contract_violations, read_csv_back, verified_extract, write_csv, write_evidence
+from tripgrain.sinks import contract_violations, manifest, read_csv_back, verified_evidence, verified_extract, write_csv, write_evidence
+from tripgrain.sinks.datasets import compare_evidence, compare_extract
 from tripgrain.spec import TripSpec
-from tripgrain.views import register_views
+from tripgrain.views import register_published, register_views
 
 
 # --- formatted tables: published rows and the figures behind them ---------------------------------------
@@ -172,6 +177,63 @@ def test_verified_extract(spark, week, tmp_path):
     assert got.rows_stored == got.rows_expected > 0 and got.extract_status == "PASS"
 
 
+def change(folder, old, new):
+    """Replace text in the files of a folder; how many files held it."""
+    changed = 0
+    for name in os.listdir(folder):
+        if name.startswith("part-"):
+            text = open(f"{folder}/{name}").read()
+            changed += old in text
+            open(f"{folder}/{name}", "w").write(text.replace(old, new))
+            if os.path.exists(f"{folder}/.{name}.crc"):
+                os.remove(f"{folder}/.{name}.crc")
+    return changed
+
+
+def test_one_altered_digit_fails(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.25, None), ("b", 2.5, 7), ("b", 2.5, 7)], "zone string, amount double, trips int")
+    path = str(tmp_path / "evidence")
+    status = lambda frame: [r[-1] for r in frame.collect()]
+    assert status(verified_evidence({"zones": df}, path)) == ["PASS"]
+    expected = fingerprint(df).first().asDict()
+    assert status(compare_evidence(spark, "zones", df.schema, expected, f"{path}/zones")) == ["PASS"]
+    assert change(f"{path}/zones", "1.25", "1.26") == 1
+    assert status(compare_evidence(spark, "zones", df.schema, expected, f"{path}/zones")) == ["FAIL"]
+    extract = str(tmp_path / "extract")
+    assert status(verified_extract(df, extract, ["zone"])) == ["PASS"]
+    for wrong in (df.replace(2.5, 2.4), df.distinct(), df.withColumn("trips", F.coalesce("trips", F.lit(0)))):
+        wrong.coalesce(1).write.mode("overwrite").parquet(extract)
+        assert status(compare_extract(spark, df.schema, expected, extract)) == ["FAIL"]
+
+
+def test_fingerprints_tell_bags_of_rows_apart(spark):
+    shape = "a int, b int"
+    of = lambda *rows: tuple(fingerprint(spark.createDataFrame(rows, shape).repartition(3)).first())
+    assert of((1, 2), (3, None), (1, 2)) == of((3, None), (1, 2), (1, 2))
+    others = [of((1, 2)), of((2, 1)), of((None, 1)), of((1, None)), of((1, 2), (1, 2)), of((1, 2), (1, 2), (1, 2)), of((None, None)), of((0, 0))]
+    assert len(set(others)) == len(others) and tuple(fingerprint(spark.createDataFrame([], shape)).first()) == (0, 0, 0)
+
+
+def test_a_shuffled_export_fails(spark, week, tmp_path):
+    report, order = mart("zone_hourly_performance", week[1], WEEK), published.ORDER["zone_hourly_performance"]
+    path = str(tmp_path / "ordered")
+    assert verified_extract(report, path, order).first().extract_status == "PASS"
+    expected = fingerprint(report).first().asDict()
+    report.repartition(3, "pickup_hour_of_the_day").write.mode("overwrite").parquet(path)
+    assert compare_extract(spark, report.schema, expected, path).first().extract_status == "PASS"  # as a bag of rows
+    assert compare_extract(spark, report.schema, expected, path, order).first().extract_status == "FAIL"
+
+
+def test_order_puts_nulls_last_either_way(spark, tmp_path):
+    df = spark.createDataFrame([(2, "a"), (2, None), (None, "a"), (None, None), (1, "b")], "n int, z string")
+    for order in (["-n", "z"], ["n", "-z"]):
+        path = str(tmp_path / order[0])
+        assert verified_extract(df, path, order).first().extract_status == "PASS"
+        rows = [tuple(r)[:2] for r in sorted(read_in_order(spark, path, df.schema).collect(), key=lambda r: r.position)]
+        down = order[0].startswith("-")
+        assert rows == ([(2, "a"), (2, None), (1, "b"), (None, "a"), (None, None)] if down else [(1, "b"), (2, "a"), (2, None), (None, "a"), (None, None)])
+
+
 def test_evidence_documents_keep_null_fields(spark, tmp_path):
     df = spark.createDataFrame([("a", None), ("b", 2)], "zone string, trips int")
     path = write_evidence({"zones": df}, str(tmp_path / "evidence"))["zones"]
@@ -219,34 +281,139 @@ def test_all_views_answer_sql(spark, trips_of, places, week_rows):
         spark.catalog.dropTempView(name)
 
 
+def lines(df):
+    return sorted(map(str, df.collect()))
+
+
 def test_refresh_publishes_everything_it_checked(spark, trips_of, places, week_rows, tmp_path):
     out = str(tmp_path / "out")
     result = run_refresh(trips_of(week_rows), places, WEEK, out)
     assert result.checks.count() == 66 and result.checks.where("check_status = 'PASS'").count() == 66
-    assert sorted(os.listdir(f"{out}/csv")) == sorted(published.ORDER) == sorted(os.listdir(f"{out}/extract"))
-    assert {"summary", "quality_checks", "priority_windows"} <= set(os.listdir(f"{out}/evidence"))
-    assert spark.read.json(f"{out}/evidence/about").first()[0] == "2026-01-05 through 2026-01-11"
-    stored = spark.read.parquet(f"{out}/extract/priority_windows")
-    assert sorted(map(str, stored.collect())) == sorted(map(str, result.marts["priority_windows"].collect()))
-    assert len([d for d in os.listdir(f"{out}/enriched") if d.startswith("pickup_date=")]) == 7
-    documents = spark.read.json(f"{out}/evidence/quality_checks").count()
-    assert documents == 66
-
-
-def test_refresh_stops_before_publishing_when_a_check_fails(trips_of, places, week_rows, tmp_path):
+    forms = {f: {n.split("/")[1] for n in result.version.datasets if n.startswith(f)} for f in ("csv", "extract", "evidence")}
+    assert forms["csv"] == forms["extract"] == set(published.ORDER)
+    assert {"summary", "quality_checks", "priority_windows"} <= forms["evidence"]
+    at = lambda name: published_dataset(spark, out, name)
+    assert tuple(spark.read.json(at("evidence/about")).select("source", "reporting_period").first()) == ("trip records", "2026-01-05 through 2026-01-11")
+    assert lines(spark.read.parquet(at("extract/priority_windows"))) == lines(result.marts["priority_windows"])
+    assert len([key for key in result.version.partitions if key.startswith("2026-")]) == 7
+    assert [key for key in result.version.partitions if not key.startswith("2026-")] == ["rejected-2026-01-06"]
+    assert spark.read.json(at("evidence/quality_checks")).count() == 66
+    # rejected trips are kept beside the eligible ones
+    staged = read_staged(spark, out, WEEK)
+    assert (staged.count(), read_enriched(spark, out, WEEK).count()) == (86, 84)
+    assert lines(staged.select(*clean_trips(trips_of(week_rows), WEEK).columns)) == lines(clean_trips(trips_of(week_rows), WEEK))
+    assert lines(result.enriched) == lines(enrich(clean_trips(trips_of(week_rows), WEEK), places, WEEK))
+
+
+def test_refresh_stops_before_publishing_when_a_check_fails(spark, trips_of, places, week_rows, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(ChecksFailed, match="null pickup zone"):
         run_refresh(trips_of([*week_rows, trip(origin=99)]), places, WEEK, out)
-    assert [d for d in os.listdir(out) if "unchecked" not in d] == []
+    assert manifest.current(spark, out) is None and os.listdir(f"{out}/data") == []
 
 
-def test_a_failed_refresh_leaves_the_former_table(spark, trips_of, places, week_rows, tmp_path):
+def test_a_refresh_killed_at_any_step_leaves_the_former_version(spark, trips_of, places, week_rows, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    first = run_refresh(trips_of(week_rows), places, WEEK, out).version
+    before = lines(read_enriched(spark, out, WEEK)), open_text(published_dataset(spark, out, "csv/hourly_demand"))
+
+    def killed(*args, **named):
+        raise KeyboardInterrupt
+
+    late = trips_of([*week_rows, trip("2026-01-07 03:00:00", "2026-01-07 03:30:00")])
+    for step in ("write_trips", "durable", "all_marts", "enforce", "verified_extract", "write_csv", "contract_violations", "verified_evidence", "manifest.publish"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"tripgrain.plans.refresh.{step}", killed)
+            with pytest.raises(KeyboardInterrupt):
+                run_refresh(late, places, WEEK, out)
+        assert manifest.current(spark, out) == first
+        assert (lines(read_enriched(spark, out, WEEK)), open_text(published_dataset(spark, out, "csv/hourly_demand"))) == before
+    assert manifest.drop_unused(spark, out) == []
+
+
+def open_text(folder):
+    return "".join(open(f"{folder}/{n}").read() for n in sorted(os.listdir(folder)) if n.endswith(".csv"))
+
+
+def test_an_unfinished_manifest_is_no_version(spark, tmp_path):
+    out, schema = str(tmp_path), T.StructType([T.StructField("x", T.LongType())])
+    one = manifest.publish(spark, out, schema, {"a": "data/1/part=a"}, lambda key: True, {"csv/x": "data/2/csv/x"}, None)
+    with open(f"{out}/manifests/00000002.json", "w") as half:
+        half.write('{"schema": "')
+    assert manifest.current(spark, out) == one == manifest.current(spark, out, 1) and manifest.current(spark, out, 2) is None
+    two = manifest.publish(spark, out, schema, {"b": "data/3/part=b"}, lambda key: key == "b", {}, one)
+    assert two.number == 3 and two.partitions == {"a": "data/1/part=a", "b": "data/3/part=b"}
+    with pytest.raises(manifest.Superseded):  # another run has published since version 1
+        manifest.publish(spark, out, schema, {}, lambda key: True, {}, one)
+    assert manifest.current(spark, out) == two
+
+
+def test_two_runs_can_not_take_one_number(spark, tmp_path, monkeypatch):
+    out, schema = str(tmp_path), T.StructType([T.StructField("x", T.LongType())])
+    manifest.publish(spark, out, schema, {}, lambda key: True, {}, None)
+    monkeypatch.setattr(manifest, "_numbers", lambda *args: [])  # as seen before the other run had published
+    with pytest.raises(manifest.Superseded):
+        manifest.publish(spark, out, schema, {}, lambda key: True, {}, None)
+
+
+def test_views_stay_with_one_version(spark, trips_of, places, week_rows, tmp_path):
     out = str(tmp_path / "out")
     run_refresh(trips_of(week_rows), places, WEEK, out)
-    before = sorted(map(str, read_enriched(spark, f"{out}/enriched", WEEK).collect()))
-    with pytest.raises(ChecksFailed):
-        run_refresh(trips_of([*week_rows, trip(origin=99)]), places, WEEK, out)
-    assert sorted(map(str, read_enriched(spark, f"{out}/enriched", WEEK).collect())) == before
+    names = register_published(spark, out, WEEK)
+    assert len(names) == 11
+    totals = "SELECT (SELECT sum(total_trip_count) FROM zone_performance), (SELECT count(*) FROM enriched_yellow_trips), (SELECT count(*) FROM stg_yellow_trips)"
+    assert tuple(spark.sql(totals).first()) == (84, 84, 86)
+    run_refresh(trips_of(week_rows + [trip("2026-01-07 03:00:00", "2026-01-07 03:30:00")]), places, WEEK, out)
+    assert tuple(spark.sql(totals).first()) == (84, 84, 86)
+    register_published(spark, out, WEEK)
+    assert tuple(spark.sql(totals).first()) == (85, 85, 87)
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
+def test_a_count_taken_twice_is_taken_anew(spark, trips_of, places, week_rows, tmp_path, monkeypatch):
+    from tripgrain.plans import refresh
+
+    honest = refresh.write_trips
+    monkeypatch.setattr(refresh, "write_trips", lambda *args: honest(*args) + 5)  # as after a lost executor
+    result = refresh.run_refresh(trips_of(week_rows), places, WEEK, str(tmp_path / "out"))
+    assert result.checks.where("check_status = 'FAIL'").count() == 0
+
+
+ONE_SCAN = """
+import sys
+from conftest import WEEK
+from tripgrain.plans.refresh import run_refresh
+from tripgrain.session import build_session
+raw, places, out, events = sys.argv[1:]
+spark = build_session("scans", "local[2]", **{"spark.sql.shuffle.partitions": "2", "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{events}",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false", "spark.checkpoint.dir": f"{out}/shared", "spark.sql.warehouse.dir": f"{out}/warehouse"})
+run_refresh(spark.read.parquet(raw), spark.read.parquet(places), WEEK, f"{out}/published")
+spark.stop()
+"""
+
+
+def test_a_refresh_reads_raw_trips_once(trips_of, places, week_rows, tmp_path):
+    raw, lookup, events = (str(tmp_path / n) for n in ("raw", "places", "events"))
+    trips_of(week_rows).coalesce(1).write.parquet(raw)
+    places.write.parquet(lookup)
+    os.mkdir(events)
+    here = os.path.dirname(os.path.abspath(__file__))
+    env = dict(os.environ, PYTHONPATH=os.pathsep.join([here, os.path.dirname(here)]))
+    subprocess.run([sys.executable, "-c", ONE_SCAN, raw, lookup, str(tmp_path / "run"), events], check=True, env=env, timeout=600, capture_output=True)
+    (log,) = os.listdir(events)
+    scans = []
+
+    def walk(node):
+        if "Scan" in node["nodeName"] and any(raw in str(v) for v in [node["simpleString"], *node.get("metadata", {}).values()]):
+            scans.append(node["simpleString"])
+        for child in node["children"]:
+            walk(child)
+
+    for event in map(json.loads, open(f"{events}/{log}")):
+        if event["Event"].endswith("SparkListenerSQLExecutionStart"):
+            walk(event["sparkPlanInfo"])
+    assert len(scans) == 1, scans
 
 
 def test_copies_are_removed(spark, trips_of):
@@ -258,18 +425,25 @@ def test_copies_are_removed(spark, trips_of):
 
 
 def test_enriched_table_is_replaced_per_date(spark, trips_of, places, tmp_path):
-    path, new = str(tmp_path / "enriched"), str(tmp_path / "new")
+    out = str(tmp_path / "out")
     wide = TripSpec(period_start=datetime(2026, 1, 5), period_end=datetime(2026, 1, 19))
-    first = [trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")]
-    write_enriched(trips_of(first), places, wide, new)
-    replace_period(spark, new, path, wide)
-    again = [trip(), trip(), trip()]
-    write_enriched(trips_of(again), places, WEEK, new)
-    replace_period(spark, new, path, WEEK)
-    assert spark.read.parquet(path).count() == 4
-    assert read_enriched(spark, path, WEEK).count() == 3
-    assert read_enriched(spark, path, wide).count() == 4
+
+    def put(rows, spec):
+        folder, before = manifest.fresh_folder(out), manifest.current(spark, out)
+        write_trips(trips_of(rows), places, spec, folder)
+        parts = manifest.written_partitions(spark, out, folder)
+        first, end = str(spec.period_start.date()), str(spec.period_end.date())
+        return manifest.publish(spark, out, trips_schema(trips_of(rows), places, spec), parts, lambda key: first <= key < end, {}, before)
+
+    one = put([trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")], wide)
+    two = put([trip(), trip(), trip()], WEEK)
+    assert read_enriched(spark, out, wide).count() == 4
+    assert read_enriched(spark, out, WEEK).count() == 3
+    assert read_enriched(spark, out, wide, one).count() == 2
     # a date that has lost its last trip is not kept
-    write_enriched(trips_of([trip("2026-01-06 10:00:00", "2026-01-06 10:30:00")]), places, WEEK, new)
-    replace_period(spark, new, path, WEEK)
-    assert read_enriched(spark, path, WEEK).count() == 1
+    put([trip("2026-01-06 10:00:00", "2026-01-06 10:30:00")], WEEK)
+    assert read_enriched(spark, out, WEEK).count() == 1
+    # versions before the last two lose what only they hold
+    folders = {v.split("/")[1] for v in one.partitions.values()} - {v.split("/")[1] for v in two.partitions.values()}
+    assert folders == set() and manifest.drop_unused(spark, out, keep=1) == sorted({two.partitions["2026-01-05"].split("/")[1]})
+    assert read_enriched(spark, out, wide).count() == 2

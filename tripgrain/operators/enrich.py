@@ -27,14 +27,18 @@ def attach(trips: DataFrame, lookup: DataFrame, spec: TripSpec, role: str, locat
     return trips.join(side, trips[location] == side[f"{role}_key"], "left").drop(f"{role}_key")
 
 
-def enrich(staged: DataFrame, lookup: DataFrame, spec: TripSpec) -> DataFrame:
-    """Eligible trips with zone and borough of both ends and the pickup date.
+def label_trips(staged: DataFrame, lookup: DataFrame, spec: TripSpec) -> DataFrame:
+    """Trips with zone and borough of both ends and the pickup date.
 
     With a lookup inside the broadcast bound both joins are hash joins on the mapper side and the trips
     are never shuffled.
     """
     small = bounded(lookup.select(spec.location_id, spec.zone, spec.borough))
-    trips = staged.where(F.col(VALID))
-    trips = attach(trips, small, spec, "pickup", spec.origin_id)
+    trips = attach(staged, small, spec, "pickup", spec.origin_id)
     trips = attach(trips, small, spec, "dropoff", spec.dest_id)
     return trips.withColumn("pickup_date", F.to_date(spec.pickup_ts))
+
+
+def enrich(staged: DataFrame, lookup: DataFrame, spec: TripSpec) -> DataFrame:
+    """The eligible trips, labelled."""
+    return label_trips(staged.where(F.col(VALID)), lookup, spec)

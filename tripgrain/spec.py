@@ -45,6 +45,7 @@ class TripSpec:
     period_start: datetime = datetime(2026, 1, 1)
     period_end: datetime = datetime(2026, 2, 1)
     period_name: str = "January"
+    source: str = "trip records"  # what the evidence names as its source
 
     # eligibility and reporting rules
     max_distance: float = 500.0
