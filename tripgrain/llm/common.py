@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import sys
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def release_memory() -> None:
+    """Let go of what earlier tasks of this Python worker have kept for later ones: a tokenizer with its remembered pieces,
+    and Arrow's unused buffers. Workers serve many stages in turn; an operator that needs none of it calls this first."""
+    import pyarrow as pa
+
+    if tokens := sys.modules.get("tripgrain.llm.tokens"):
+        tokens.encoder.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """`df` less the columns that a result is about to add."""
     return df.drop(*names)

@@ -21,7 +21,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.common import stored
+from tripgrain.llm.common import free_name, stored
 
 # Two masks of weight 6: a stretch with one substitution in every seven tokens still has hits.
 MASKS = ("11101011", "1101001011")
@@ -170,6 +170,18 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """`docs` less those with a leak; rows with a null id stay."""
-    leaks = stored(find_leaks(docs, items, doc_id=doc_id, **options).select(F.col("doc_id").alias("leaked_id")).distinct(), "leaks")
-    return docs.join(leaks, docs[doc_id] == leaks["leaked_id"], "left_anti")
+    """`docs` less those with a leak. All rows of an id go if one of them has one; rows with a null id are judged by
+    their texts."""
+
+    def kept(rows: DataFrame, key: str) -> DataFrame:
+        leaked = free_name(rows, "leaked_id")
+        leaks = stored(find_leaks(rows, items, doc_id=key, **options).select(F.col("doc_id").alias(leaked)).distinct(), "leaks")
+        return rows.join(leaks, rows[key] == leaks[leaked], "left_anti")
+
+    nameless = docs.where(docs[doc_id].isNull())
+    if nameless.isEmpty():
+        return kept(docs, doc_id)
+    digest = free_name(docs, "text_digest")
+    body = F.col(options.get("text", "text"))
+    by_text = kept(nameless.withColumn(digest, F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)), digest).drop(digest)
+    return kept(docs.where(docs[doc_id].isNotNull()), doc_id).unionByName(by_text)

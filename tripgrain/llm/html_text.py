@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.common import stored
+from tripgrain.llm.common import free_name, stored
 from tripgrain.llm.url_rules import host_of
 
 MIN_IMPORTANCE = 0.4
@@ -242,18 +242,19 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html") -> Data
     their host. Columns named like a result are replaced.
     """
     rest = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
-    hosted = pages.select(host_of(F.col(url)).alias("sst_host"), F.col(html).alias("sst_html"), *rest)
-    tree = site_style_tree(hosted, "sst_host", "sst_html").withColumn("least", least_role(F.col("pages"), F.col("entropy"))).where(F.col("least") != ROLES[1])
+    host, raw, lows, owner = (free_name(pages, c) for c in ("sst_host", "sst_html", "sst_low", "sst_of"))
+    hosted = pages.select(host_of(F.col(url)).alias(host), F.col(html).alias(raw), *rest)
+    tree = site_style_tree(hosted, host, raw).withColumn("least", least_role(F.col("pages"), F.col("entropy"))).where(F.col("least") != ROLES[1])
     # written first, so that Spark knows its size and broadcasts it only if it is small
-    low = stored(tree.groupBy("host").agg(F.collect_list(F.struct("path", "least")).alias("sst_low")).select(F.col("host").alias("sst_of"), "sst_low"), "style-tree")
-    joined = hosted.join(low, F.col("sst_host") == F.col("sst_of"), "left").drop("sst_of", "sst_host")
+    low = stored(tree.groupBy("host").agg(F.collect_list(F.struct("path", "least")).alias(lows)).select(F.col("host").alias(owner), lows), "style-tree")
+    joined = hosted.join(low, F.col(host) == F.col(owner), "left").drop(owner, host)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            low_paths = batch.column(names.index("sst_low")).to_pylist()
+            low_paths = batch.column(names.index(lows)).to_pylist()
             needed = ({p["path"]: p["least"] for p in paths or ()} for paths in low_paths)
-            texts = [main_text(h, n) for h, n in zip(batch.column(names.index("sst_html")).to_pylist(), needed, strict=True)]
+            texts = [main_text(h, n) for h, n in zip(batch.column(names.index(raw)).to_pylist(), needed, strict=True)]
             kept = [batch.column(names.index(c)) for c in rest]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 

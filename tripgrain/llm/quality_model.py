@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.common import free_name, stored
+from tripgrain.llm.common import free_name, release_memory, stored
 
 SAMPLE = 1500  # labelled rows of each class that are used at most
 DIRECTIONS = 48
@@ -94,6 +94,7 @@ def fit_nearest(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     rows, number = _sample(docs, labels, doc_id, text, label, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([shapes(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["row_id", "label", "counts"])
 
@@ -121,11 +122,13 @@ def score_quality(docs: DataFrame, model: NearestModel, text: str = "text") -> D
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SAMPLE vectors
     rest = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    body = free_name(docs, "scored_text")
+    names = rest if text in rest else [*rest, free_name(docs, "scored_text")]
+    at = names.index(text) if text in rest else len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
-            texts, scores = batch.column(len(rest)), np.zeros(batch.num_rows)
+            texts, scores = batch.column(at), np.zeros(batch.num_rows)
             for a in range(0, len(texts), BLOCK):
                 counts = np.array([shapes(t) for t in texts.slice(a, BLOCK).to_pylist()], np.float32).reshape(-1, SHAPES)
                 scores[a : a + BLOCK] = held.value.score(counts)
@@ -133,4 +136,5 @@ def score_quality(docs: DataFrame, model: NearestModel, text: str = "text") -> D
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, "score", "predicted"])
 
     schema = docs.select(*rest).withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
-    return docs.select(*rest, F.col(text).alias(body)).mapInArrow(run, schema)
+    extra = [] if text in rest else [F.col(text).alias(names[-1])]
+    return docs.select(*rest, *extra).mapInArrow(run, schema)

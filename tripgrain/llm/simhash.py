@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.common import stored
+from tripgrain.llm.common import free_name, release_memory, stored
 
 SHINGLE, MAX_BITS, BLOCKS = 4, 4, 3
 SEED = 42  # fixed by the contract
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     """doc_id, fp (the 64 bits as a signed long). Null or blank text has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
@@ -234,9 +235,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame
     """`docs` with one row of each group of near copies, that with the smallest id. Of rows with one id one stays;
     rows with a null id can't be told apart and all stay."""
     groups = stored(near_copies(docs, doc_id, **options).where("doc_id is not null"), "groups")
-    keepers = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count(F.lit(1)).alias("n"))
+    kept, number = free_name(docs, "kept_id"), free_name(docs, "rows_of_id")
+    keepers = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(kept)).agg(F.count(F.lit(1)).alias(number))
     keepers = stored(keepers, "kept")
     key = docs[doc_id].cast("long")
-    alone = docs.join(keepers.where("n = 1"), key == F.col("kept_id"), "left_semi")
-    repeated = docs.join(keepers.where("n > 1"), key == F.col("kept_id"), "left_semi").dropDuplicates([doc_id])
+    alone = docs.join(keepers.where(F.col(number) == 1), key == F.col(kept), "left_semi")
+    repeated = docs.join(keepers.where(F.col(number) > 1), key == F.col(kept), "left_semi").dropDuplicates([doc_id])
     return alone.unionByName(repeated).unionByName(docs.where(docs[doc_id].isNull()))
