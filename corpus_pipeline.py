@@ -19,15 +19,20 @@ from tripgrain.llm.queries import tokenizer_file
 from tripgrain.llm.simhash import one_of_each
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """The documents' columns as one, `row`, beside id and text: whatever they are called, no result replaces them."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good. It learns from the labels of the documents at hand."""
-    scored = score_quality(docs, fit_nearest(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    scored = score_quality(boxed(docs), fit_nearest(docs, table(spark, sf_dir, "labels")))
+    return scored.where(F.col("predicted") == 1).select("row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and all thresholds."""
-    return judge_quality(docs).where("kept").select(*docs.columns)
+    return judge_quality(boxed(docs)).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
