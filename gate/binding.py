@@ -36,6 +36,9 @@ SPEC = TripSpec(
     outside_zone="NATION_24",
 )
 
+# The period that is refreshed: its first and last day have trips at every scale, as the calendar check wants.
+REFRESH_SPEC = replace(SPEC, period_start=datetime(1998, 3, 1))
+
 # The second binding: events as point-like trips, for wall-clock times with microseconds.
 EVENT_SPEC = replace(
     SPEC, period_start=datetime(2024, 1, 8), period_end=datetime(2024, 1, 22), max_distance=80.0

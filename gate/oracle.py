@@ -86,6 +86,7 @@ enriched AS (
 
 MAIN = ",".join((TRIPS, PLACES, staged(), ENRICHED))
 GAPPY = ",".join((GAPPY_TRIPS, SHORT_PLACES, staged(), ENRICHED))
+REFRESHED = ",".join((TRIPS, PLACES, staged(("TIMESTAMP '1998-03-01'", PERIOD[1])), ENRICHED))
 EVENT = ",".join((EVENT_TRIPS, PLACES, staged(EVENT_PERIOD, 80), ENRICHED))
 
 # spellings used throughout
@@ -773,10 +774,10 @@ SELECT count(DISTINCT (pickup_zone, dropoff_zone, {CATEGORY})) AS rows_read, CAS
     ),
     # a refresh publishes what the queries above compute
     "refresh_stopped": query(
-        MAIN, "SELECT 1 AS version, count(*) AS eligible_trips, TRUE AS stopped, 0 AS folders_left FROM enriched"
+        REFRESHED, "\nSELECT 1 AS version, count(*) AS eligible_trips, TRUE AS stopped, 0 AS folders_left FROM enriched"
     ),
     "published_positions": query(
-        MAIN,
+        REFRESHED,
         f"""
 SELECT 'daily_demand_revenue' AS dataset, row_number() OVER (ORDER BY pickup_date) - 1 AS position, pickup_date::VARCHAR AS sort_key
 FROM (SELECT DISTINCT pickup_date FROM enriched)
@@ -795,5 +796,36 @@ SELECT 'airport_comparison', row_number() OVER (ORDER BY s) - 1, s
 FROM (SELECT DISTINCT CASE origin_id WHEN 3 THEN 'Hub three' WHEN 8 THEN 'Hub eight' ELSE 'Other origins' END AS s FROM enriched)""",
     ),
 }
-ORACLE["refresh_enriched"] = ORACLE["enriched_trips"]
-ORACLE["refresh_reports"] = ORACLE["zone_hour_performance"]
+
+
+def one_sided(report: str, groups: str, keys: dict[str, str]) -> str:
+    """Keys of one side only, counted by two set differences, in which nulls are equal."""
+    shown, known = f"SELECT {', '.join(keys)} FROM ({report})", f"SELECT {groups} FROM enriched"
+    return f"((SELECT count(*) FROM ({shown} EXCEPT {known})) + (SELECT count(*) FROM ({known} EXCEPT {shown})))"
+
+
+COMPLETENESS = (
+    f"""counted AS (
+  SELECT {one_sided(DAILY, "pickup_date", {"pickup_date": ""})} AS d,
+         {one_sided(ZONES, "pickup_zone, pickup_borough", {"pickup_zone": "", "pickup_borough": ""})} AS z,
+         {one_sided(HOURLY, HOUR, {"pickup_hour": ""})} AS h,
+         {one_sided(ZONE_HOUR_DETAIL, f"pickup_date, {HOUR}, pickup_borough, pickup_zone", {"pickup_date": "", "pickup_hour": "", "pickup_borough": "", "pickup_zone": ""})} AS c,
+         {one_sided(ZONE_HOURS, f"{HOUR}, pickup_borough, pickup_zone", {"pickup_hour_of_the_day": "", "pickup_borough": "", "pickup_zone": ""})} AS p,
+         {one_sided(ROUTE_AVERAGES, f"pickup_zone, dropoff_zone, {CATEGORY}", {"pickup_zone": "", "dropoff_zone": "", "route_category": ""})} AS r)""",
+    check_list(
+        "completeness",
+        "counted",
+        [
+            ("Dates in the report or in the trips only", "d", "0", "0"),
+            ("Zones in the report or in the trips only", "z", "0", "0"),
+            ("Hours in the report or in the trips only", "h", "0", "0"),
+            ("Date-zone-hours in the report or in the trips only", "c", "0", "0"),
+            ("Zone-hours in the report or in the trips only", "p", "0", "0"),
+            ("Routes in the report or in the trips only", "r", "0", "0"),
+        ],
+    ),
+)
+ORACLE["checks_completeness"] = query(MAIN, COMPLETENESS[1], COMPLETENESS[0])
+ORACLE["checks_completeness_gappy"] = query(GAPPY, COMPLETENESS[1], COMPLETENESS[0])
+ORACLE["refresh_enriched"] = query(REFRESHED, "\nSELECT * FROM enriched")
+ORACLE["refresh_reports"] = query(REFRESHED, ZONE_HOURS)

@@ -20,7 +20,7 @@ from tripgrain.operators.totals import PLACE_HOUR, ROUTE, trip_totals, with_keys
 from tripgrain.plans import insights, profiles, published
 from tripgrain.plans.marts import REPORTS, all_marts, mart
 from tripgrain.plans.refresh import published_dataset, read_enriched, run_refresh, stored_evidence
-from tripgrain.plans.suites import SUITES, Evidence, all_checks, direct_evidence, gate
+from tripgrain.plans.suites import SUITES, Evidence, all_checks, checks_completeness, direct_evidence, gate
 from tripgrain.session import durable, run_dir
 from tripgrain.sinks import contract_violations, manifest, read_csv_back, verified_evidence, verified_extract, write_csv
 from tripgrain.sources import read_lookup
@@ -28,7 +28,7 @@ from tripgrain.spec import TripSpec
 from tripgrain.views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
-SPEC, EVENT_SPEC = b.SPEC, b.EVENT_SPEC
+SPEC, EVENT_SPEC, REFRESH_SPEC = b.SPEC, b.EVENT_SPEC, b.REFRESH_SPEC
 
 
 # --- stages of the main, the gappy and the event binding -----------------------------------------------
@@ -245,14 +245,14 @@ def _refresh(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d)
     if key not in _refreshed:
         out = run_dir(spark, "refresh")
-        run_refresh(b.raw_trips(spark, d), b.lookup(spark, d), SPEC, out)
+        run_refresh(b.raw_trips(spark, d), b.lookup(spark, d), REFRESH_SPEC, out)
         _refreshed[key] = out
     return _refreshed[key]
 
 
 def refresh_enriched(spark: SparkSession, d: str) -> DataFrame:
     """The enriched trips as published."""
-    return read_enriched(spark, _refresh(spark, d), SPEC)
+    return read_enriched(spark, _refresh(spark, d), REFRESH_SPEC)
 
 
 def refresh_reports(spark: SparkSession, d: str) -> DataFrame:
@@ -265,11 +265,11 @@ def refresh_stopped(spark: SparkSession, d: str) -> DataFrame:
     """What readers find after a refresh that its checks have stopped: the version before, and no other files."""
     out = _refresh(spark, d)
     try:
-        run_refresh(b.gappy_trips(spark, d), b.short_lookup(spark, d), SPEC, out)
+        run_refresh(b.gappy_trips(spark, d), b.short_lookup(spark, d), REFRESH_SPEC, out)
         stopped = False
     except ChecksFailed:
         stopped = True
-    trips = read_enriched(spark, out, SPEC).agg(F.count(F.lit(1)).alias("eligible_trips"))
+    trips = read_enriched(spark, out, REFRESH_SPEC).agg(F.count(F.lit(1)).alias("eligible_trips"))
     unused = len(manifest.drop_unused(spark, out))
     return trips.withColumns({"version": F.lit(manifest.current(spark, out).number), "stopped": F.lit(stopped), "folders_left": F.lit(unused)})
 
@@ -326,6 +326,8 @@ QUERIES: dict[str, Query] = {
     **{name: _suite(name) for name in SUITES},
     "checks_enriched_gappy": _suite("checks_enriched", gappy=True),
     "checks_routes_gappy": _suite("checks_routes", gappy=True),
+    "checks_completeness": lambda s, d: checks_completeness(_evidence(s, d)),
+    "checks_completeness_gappy": lambda s, d: checks_completeness(_evidence(s, d, gappy=True)),
     "check_gate": check_gate,
     # published figures
     "summary": summary,

@@ -12,7 +12,7 @@ from tripgrain.operators.staging import clean_trips
 from tripgrain.operators.totals import trip_totals
 from tripgrain.plans import marts as marts_module
 from tripgrain.plans.marts import REPORTS, mart
-from tripgrain.plans.suites import SUITES, Evidence, all_checks, direct_evidence, expected_totals, gate
+from tripgrain.plans.suites import SUITES, Evidence, all_checks, checks_completeness, direct_evidence, expected_totals, gate
 from tripgrain.spec import TripSpec
 
 # The published names of the checks, for the default period, cap and ranking length.
@@ -258,6 +258,38 @@ def test_no_trips_at_all_fails_rather_than_passes(trips_of, places):
     assert gate(all_checks(e)).first().verdict == "FAIL"
 
 
+# --- completeness, beside the 66 checks ----------------------------------------------------------------
+
+
+def test_sound_reports_are_complete(sound):
+    rows = checks_completeness(sound).collect()
+    assert len(rows) == 6 and {r.check_status for r in rows} == {"PASS"}
+
+
+@pytest.mark.parametrize(
+    "suite, report, column, order",
+    [
+        ("checks_zones", "zone_performance", "pickup_zone", 2),
+        ("checks_zone_hourly", "zone_hourly_performance", "pickup_zone", 5),
+        ("checks_daily", "daily_demand_revenue", "pickup_date", 1),
+    ],
+)
+def test_a_group_under_another_key_fails_completeness_alone(sound, suite, report, column, order):
+    """The number of rows and all totals stay as they were; the formula checks skip a group that one side doesn't know."""
+    first = sound.marts[report].select(F.min(column)).first()[0]
+    other = F.lit("Nowhere") if column == "pickup_zone" else F.lit("2025-01-01").cast("date")
+    renamed = F.when(F.col(column) == F.lit(first), other).otherwise(F.col(column))
+    e = changed(sound, marts={report: sound.marts[report].withColumn(column, renamed)})
+    assert failed(suite, e) == []
+    rows = {r.check_order: r.actual_value for r in checks_completeness(e).where("check_status = 'FAIL'").collect()}
+    assert set(rows) == {order} and rows[order] >= 2
+
+
+def test_a_dropped_group_fails_completeness(sound):
+    e = changed(sound, marts={"route_analysis": without_one(sound.marts["route_analysis"])})
+    assert [(r.check_order, r.actual_value) for r in checks_completeness(e).where("check_status = 'FAIL'").collect()] == [(6, 1.0)]
+
+
 # --- faults in the totals behind the reports ------------------------------------------------------------
 
 FAULTS = {

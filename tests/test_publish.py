@@ -2,6 +2,7 @@ import json
 import os
 import subprocess
 import sys
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -18,6 +19,7 @@ from tripgrain.operators.staging import clean_trips
 from tripgrain.operators.totals import trip_totals
 from tripgrain.plans import insights, published
 from tripgrain.plans.marts import REPORTS, mart
+from tripgrain.plans.suites import SUITES
 from tripgrain.plans.refresh import published_dataset, read_enriched, read_staged, run_refresh, trips_schema, write_trips
 from tripgrain.session import drop_copies, durable, run_dir, shared_dir
 from tripgrain.sinks import contract_violations, manifest, read_csv_back, verified_evidence, verified_extract, write_csv, write_evidence
@@ -312,22 +314,39 @@ def test_refresh_stops_before_publishing_when_a_check_fails(spark, trips_of, pla
     assert manifest.current(spark, out) is None and os.listdir(f"{out}/data") == []
 
 
+def put(spark, trips, places, spec, out, replaced=None):
+    """Publish trips without reports and checks."""
+    folder, before = manifest.fresh_folder(out), manifest.current(spark, out)
+    write_trips(trips, places, spec, folder)
+    parts, schema = manifest.written_partitions(spark, out, folder), trips_schema(trips, places, spec)
+    return manifest.publish(spark, out, schema, parts, replaced or (lambda key: True), {}, before)
+
+
 def test_a_refresh_killed_at_any_step_leaves_the_former_version(spark, trips_of, places, week_rows, tmp_path, monkeypatch):
     out = str(tmp_path / "out")
-    first = run_refresh(trips_of(week_rows), places, WEEK, out).version
+    whole = run_refresh(trips_of(week_rows), places, WEEK, out)
     before = lines(read_enriched(spark, out, WEEK)), open_text(published_dataset(spark, out, "csv/hourly_demand"))
+    assert whole.version.number == 1
 
     def killed(*args, **named):
         raise KeyboardInterrupt
 
-    late = trips_of([*week_rows, trip("2026-01-07 03:00:00", "2026-01-07 03:30:00")])
-    for step in ("write_trips", "durable", "all_marts", "enforce", "verified_extract", "write_csv", "contract_violations", "verified_evidence", "manifest.publish"):
+    def after_a_kill(step):
         with monkeypatch.context() as patch:
             patch.setattr(f"tripgrain.plans.refresh.{step}", killed)
             with pytest.raises(KeyboardInterrupt):
-                run_refresh(late, places, WEEK, out)
-        assert manifest.current(spark, out) == first
+                run_refresh(trips_of(week_rows[:20]), places, WEEK, out)
+        assert manifest.current(spark, out) == whole.version
         assert (lines(read_enriched(spark, out, WEEK)), open_text(published_dataset(spark, out, "csv/hourly_demand"))) == before
+
+    for step in ("write_trips", "trip_totals", "all_marts"):
+        after_a_kill(step)
+    # the steps after the checks, with what one build has made and a single dataset
+    one = {"priority_windows": whole.datasets["priority_windows"]}
+    short = replace(whole, datasets=one, marts=one)
+    monkeypatch.setattr("tripgrain.plans.refresh.build", lambda *args: (short, whole.version))
+    for step in ("export", "verified_extract", "write_csv", "contract_violations", "verified_evidence", "manifest.publish"):
+        after_a_kill(step)
     assert manifest.drop_unused(spark, out) == []
 
 
@@ -358,12 +377,12 @@ def test_two_runs_can_not_take_one_number(spark, tmp_path, monkeypatch):
 
 def test_views_stay_with_one_version(spark, trips_of, places, week_rows, tmp_path):
     out = str(tmp_path / "out")
-    run_refresh(trips_of(week_rows), places, WEEK, out)
+    put(spark, trips_of(week_rows), places, WEEK, out)
     names = register_published(spark, out, WEEK)
     assert len(names) == 11
     totals = "SELECT (SELECT sum(total_trip_count) FROM zone_performance), (SELECT count(*) FROM enriched_yellow_trips), (SELECT count(*) FROM stg_yellow_trips)"
     assert tuple(spark.sql(totals).first()) == (84, 84, 86)
-    run_refresh(trips_of(week_rows + [trip("2026-01-07 03:00:00", "2026-01-07 03:30:00")]), places, WEEK, out)
+    put(spark, trips_of(week_rows + [trip("2026-01-07 03:00:00", "2026-01-07 03:30:00")]), places, WEEK, out)
     assert tuple(spark.sql(totals).first()) == (84, 84, 86)
     register_published(spark, out, WEEK)
     assert tuple(spark.sql(totals).first()) == (85, 85, 87)
@@ -371,13 +390,24 @@ def test_views_stay_with_one_version(spark, trips_of, places, week_rows, tmp_pat
         spark.catalog.dropTempView(name)
 
 
-def test_a_count_taken_twice_is_taken_anew(spark, trips_of, places, week_rows, tmp_path, monkeypatch):
+@pytest.mark.parametrize("twice", [0, 5])
+def test_a_count_that_stored_rows_deny_is_taken_anew(trips_of, places, week_rows, tmp_path, monkeypatch, twice):
     from tripgrain.plans import refresh
 
+    class Seen(Exception):
+        pass
+
+    def look(evidence):
+        raise Seen(evidence.raw_rows, SUITES["checks_staging"](evidence).where("check_status = 'FAIL'").count())
+
     honest = refresh.write_trips
-    monkeypatch.setattr(refresh, "write_trips", lambda *args: honest(*args) + 5)  # as after a lost executor
-    result = refresh.run_refresh(trips_of(week_rows), places, WEEK, str(tmp_path / "out"))
-    assert result.checks.where("check_status = 'FAIL'").count() == 0
+    monkeypatch.setattr(refresh, "write_trips", lambda *args: honest(*args) + twice)  # as after a lost executor
+    monkeypatch.setattr(refresh, "all_marts", lambda *args: {})
+    monkeypatch.setattr(refresh, "durable", lambda df, label: df)
+    monkeypatch.setattr(refresh, "all_checks", look)
+    with pytest.raises(Seen) as seen:
+        refresh.build(trips_of(week_rows), places, WEEK, str(tmp_path), manifest.fresh_folder(str(tmp_path)))
+    assert seen.value.args == (None if twice else 86, 0)
 
 
 ONE_SCAN = """
@@ -428,20 +458,17 @@ def test_enriched_table_is_replaced_per_date(spark, trips_of, places, tmp_path):
     out = str(tmp_path / "out")
     wide = TripSpec(period_start=datetime(2026, 1, 5), period_end=datetime(2026, 1, 19))
 
-    def put(rows, spec):
-        folder, before = manifest.fresh_folder(out), manifest.current(spark, out)
-        write_trips(trips_of(rows), places, spec, folder)
-        parts = manifest.written_partitions(spark, out, folder)
+    def put_rows(rows, spec):
         first, end = str(spec.period_start.date()), str(spec.period_end.date())
-        return manifest.publish(spark, out, trips_schema(trips_of(rows), places, spec), parts, lambda key: first <= key < end, {}, before)
+        return put(spark, trips_of(rows), places, spec, out, lambda key: first <= key < end)
 
-    one = put([trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")], wide)
-    two = put([trip(), trip(), trip()], WEEK)
+    one = put_rows([trip(), trip("2026-01-13 10:00:00", "2026-01-13 10:30:00")], wide)
+    two = put_rows([trip(), trip(), trip()], WEEK)
     assert read_enriched(spark, out, wide).count() == 4
     assert read_enriched(spark, out, WEEK).count() == 3
     assert read_enriched(spark, out, wide, one).count() == 2
     # a date that has lost its last trip is not kept
-    put([trip("2026-01-06 10:00:00", "2026-01-06 10:30:00")], WEEK)
+    put_rows([trip("2026-01-06 10:00:00", "2026-01-06 10:30:00")], WEEK)
     assert read_enriched(spark, out, WEEK).count() == 1
     # versions before the last two lose what only they hold
     folders = {v.split("/")[1] for v in one.partitions.values()} - {v.split("/")[1] for v in two.partitions.values()}

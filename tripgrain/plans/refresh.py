@@ -24,7 +24,7 @@ from tripgrain.operators.staging import VALID, clean_trips, in_period
 from tripgrain.operators.totals import PLACE_HOUR, ROUTE, trip_totals
 from tripgrain.plans import published
 from tripgrain.plans.marts import all_marts
-from tripgrain.plans.suites import Evidence, all_checks, expected_totals
+from tripgrain.plans.suites import Evidence, all_checks, checks_completeness, expected_totals
 from tripgrain.session import durable
 from tripgrain.sinks import manifest
 from tripgrain.sinks.datasets import contract_violations, verified_evidence, verified_extract, write_csv
@@ -42,6 +42,7 @@ class Refresh:
     summary: DataFrame
     datasets: dict[str, DataFrame]
     version: Version | None = None
+    complete: DataFrame | None = None  # the checks of completeness, beside the 66
 
 
 class ExportMismatch(RuntimeError):
@@ -115,14 +116,16 @@ def build(trips: DataFrame, lookup: DataFrame, spec: TripSpec, out: str, folder:
     routes = durable(trip_totals(enriched, spec, *ROUTE), "report-routes")
     marts = all_marts(place_hours, routes, spec)
 
-    checks = durable(all_checks(stored_evidence(spec, trips, staged, lookup, enriched, marts, raw_rows)), "checks")
-    enforce(checks)
+    evidence = stored_evidence(spec, trips, staged, lookup, enriched, marts, raw_rows)
+    checks = durable(all_checks(evidence), "checks")
+    complete = durable(checks_completeness(evidence), "completeness")
+    enforce(checks.unionByName(complete))
 
     summary = published.summary(place_hours, marts["zone_performance"], staged, spec)
     datasets = {name: marts[name] for name in published.ORDER if name in marts}
     datasets["priority_table"] = published.priority_table(marts["priority_windows"])
     datasets["airport_table"] = published.airport_table(marts["airport_comparison"], spec)
-    return Refresh(enriched, marts, checks, summary, datasets), draft
+    return Refresh(enriched, marts, checks, summary, datasets, complete=complete), draft
 
 
 def stored_evidence(
@@ -169,6 +172,8 @@ def export(result: Refresh, spec: TripSpec, folder: str) -> dict[str, str]:
         write_csv(published.ordered(stored, name), paths[f"csv/{name}"])
         verified.append(contract_violations(spark, paths[f"csv/{name}"], dataset.schema))
     evidence = {"about": about(result.summary, spec), "summary": result.summary, "quality_checks": result.checks}
+    if result.complete is not None:
+        evidence["completeness_checks"] = result.complete
     evidence.update({name: result.marts[name] for name in published.ORDER if name in result.marts})
     verified.append(verified_evidence(evidence, f"{folder}/evidence"))
     paths.update({f"evidence/{name}": f"{folder}/evidence/{name}" for name in evidence})
@@ -199,7 +204,7 @@ def run_refresh(trips: DataFrame, lookup: DataFrame, spec: TripSpec, out: str) -
             manifest.drop(spark, path)
         raise
     enriched = read_enriched(spark, out, spec, version)
-    return Refresh(enriched, result.marts, result.checks, result.summary, result.datasets, version)
+    return Refresh(enriched, result.marts, result.checks, result.summary, result.datasets, version, result.complete)
 
 
 def published_dataset(spark: SparkSession, out: str, name: str, version: Version | None = None) -> str:

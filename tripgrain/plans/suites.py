@@ -535,6 +535,48 @@ def _word(n: int) -> str:
     return words[n] if n < len(words) else str(n)
 
 
+# Reports by key, and the columns of the expected totals that must hold the same groups.
+GROUPED = {
+    "daily_demand_revenue": ("Dates", {"pickup_date": "pickup_date"}),
+    "zone_performance": ("Zones", {"pickup_zone": "pickup_zone", "pickup_borough": "pickup_borough"}),
+    "hourly_demand": ("Hours", {"pickup_hour": "pickup_hour"}),
+    "zone_hourly_demand": (
+        "Date-zone-hours",
+        {"pickup_date": "pickup_date", "pickup_hour": "pickup_hour", "pickup_borough": "pickup_borough", "pickup_zone": "pickup_zone"},
+    ),
+    "zone_hourly_performance": (
+        "Zone-hours",
+        {"pickup_hour_of_the_day": "pickup_hour", "pickup_borough": "pickup_borough", "pickup_zone": "pickup_zone"},
+    ),
+    "route_analysis": ("Routes", {key: key for key in ROUTE}),
+}
+
+
+def one_sided(report: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """How many keys are in one of two frames only, as `unmatched`. Nulls are keys like any other; both sides hold a row
+    per key and are joined as a whole, so a group that only one of them knows is seen whichever it is."""
+    left = report.groupBy(*keys).agg(F.lit(1).alias("in_report"))
+    right = groups.groupBy(*keys).agg(F.lit(1).alias("in_source"))
+    met = null_safe_join(left, right, keys, "full")
+    return met.agg(F.count_if(F.col("in_report").isNull() | F.col("in_source").isNull()).alias("unmatched"))
+
+
+def checks_completeness(e: Evidence) -> DataFrame:
+    """Beside the 66 checks: no group of trips is missing from a report, and no report has a group without trips.
+
+    The formula checks compare groups that both sides know. A group dropped from a report and one invented in its place
+    keep the number of rows, and totals within their tolerance where the group is small.
+    """
+    checks, metrics = [], None
+    for name, (label, keys) in GROUPED.items():
+        shown = e.marts[name].select(*(F.col(c).alias(k) for c, k in keys.items()))
+        groups = e.totals(tuple(ROUTE) if name == "route_analysis" else tuple(keys.values()))
+        found = only_row(one_sided(shown, groups, list(keys.values())))
+        metrics = e.lookup.sparkSession.range(1).select(found.alias(name)) if metrics is None else metrics.withColumn(name, found)
+        checks.append(none_of(f"{label} in the report or in the trips only", F.col(f"{name}.unmatched")))
+    return check_rows("completeness", metrics, checks)
+
+
 SUITES: dict[str, Callable[[Evidence], DataFrame]] = {
     "checks_staging": checks_staging,
     "checks_enriched": checks_enriched,
