@@ -235,10 +235,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame
     """`docs` with one row of each group of near copies, that with the smallest id. Of rows with one id one stays;
     rows with a null id can't be told apart and all stay."""
     groups = stored(near_copies(docs, doc_id, **options).where("doc_id is not null"), "groups")
-    kept, number = free_name(docs, "kept_id"), free_name(docs, "rows_of_id")
-    keepers = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(kept)).agg(F.count(F.lit(1)).alias(number))
-    keepers = stored(keepers, "kept")
+    known, number = free_name(docs, "known_id"), free_name(docs, "rows_kept")
+    counts = groups.groupBy(F.col("doc_id").alias(known)).agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias(number))
+    # ids that go, or stay once of several rows: far fewer than those that simply stay, so the texts seldom have to move
+    other = stored(counts.where(F.col(number) != 1), "not-kept-once")
     key = docs[doc_id].cast("long")
-    alone = docs.join(keepers.where(F.col(number) == 1), key == F.col(kept), "left_semi")
-    repeated = docs.join(keepers.where(F.col(number) > 1), key == F.col(kept), "left_semi").dropDuplicates([doc_id])
-    return alone.unionByName(repeated).unionByName(docs.where(docs[doc_id].isNull()))
+    alone = docs.join(other, key == F.col(known), "left_anti")
+    repeated = docs.join(other.where(F.col(number) > 1), key == F.col(known), "left_semi").dropDuplicates([doc_id])
+    return alone.unionByName(repeated)
