@@ -90,6 +90,24 @@ def test_remembered_pieces_change_no_id(monkeypatch, name):
         assert np.frombuffer(got, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_each_piece_goes_to_the_tokenizer_once(monkeypatch, name):
+    from tokenizers import Tokenizer
+
+    coder, whole, sent = tokens.Encoder(tokenizer_file(name)), Tokenizer.from_file(tokenizer_file(name)), []
+    plain, model = coder._plain, coder._model_ids
+    monkeypatch.setattr(coder, "_plain", lambda texts: sent.extend(texts) or plain(texts))
+    monkeypatch.setattr(coder, "_model_ids", lambda forms: sent.extend(forms.split()) or model(forms))
+    text = "Übung thon and\nand, x86 ÿ#| thon über"
+    group = [text, None, f"{text} {text}", "", f"{text}  \n{text} "]
+    for k in range(3):
+        for got, t in zip(coder.encode_group(group), group, strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == whole.encode(t or "", add_special_tokens=False).ids, t
+        assert bool(sent) == (k == 0)
+        sent.clear()
+    assert len(coder.encode_group(["thon"] * 3 + ["a \u3000b c", "a\tb", "thon"])) == 6
+
+
 @pytest.mark.parametrize("ids", [[5], [7] * 3000, list(range(2500)), [0, 2**32 - 1] * 600, [DICE.randrange(50_000) if DICE.random() < 0.9 else DICE.randrange(2**32) for _ in range(4000)]])
 def test_blocks_round_trip(ids):
     starts, payload = token_store.pack_ids(np.array(ids, "<u4"))

@@ -1,8 +1,9 @@
 """Token ids with a public tokenizer file, inside tasks. Ids travel as little-endian unsigned 32-bit integers.
 
-Words repeat, so the ids of a piece of text are remembered; the words that a group of texts brings anew are encoded
-together. A piece starts where a space or line break follows another character: both tokenizers in use end a pre-token
-there, so pieces can be encoded one by one. Texts with other white space are encoded whole.
+Words repeat: a group of texts is cut into pieces and each distinct piece is looked up once, all in Arrow. The ids of pieces
+met before are remembered; the words that a group brings anew are encoded together. A piece starts where a space or line
+break follows another character: both tokenizers in use end a pre-token there, so pieces can be encoded one by one. Texts
+with other white space are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,23 +18,72 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_BYTES = 40 << 20  # of remembered pieces; then a worker starts anew, and keeps these until it does so again
+MEMO_BYTES = 24 << 20  # of remembered pieces; then a worker starts anew, and keeps those met again until it does so again
 MEMO_CHARS = 48  # longer pieces are not remembered
-ENTRY_BYTES = 160  # of an entry, besides its characters and ids
-SEEN = (1 << 22) + 1  # flags that tell, by a hash, whether a piece has been met since the last start
-GROUP_BYTES = 1 << 20  # of texts that are encoded together
+GROUP_BYTES = 8 << 20  # of texts that are encoded together
+AT_ONCE = 1 << 15  # pieces given to the tokenizer at once; what it returns takes far more memory than the ids
 
-PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​-‍⁠﻿]")
-# What parts of a text are looked up by: a word after a space stands alone, other pieces begin with one of these marks.
-# A word not after a space; any other piece, written out. A word after a line break begins with the break.
-BARE, WHOLE = "\x00", "\x01"
 # A word and the marks after it: both tokenizers end a pre-token between the two, and before the next word's space.
 # Latin-1 letters keep their number of bytes in lower case.
-WORD = re.compile(r"([\n\x00]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)\Z")
-FOREIGN = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ]")
+WORD = "^[ \\n]?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?#*$%&|]*$"
+MARKS = re.compile(r"([.,;:!?#*$%&|]+)")
+KEYS, IDS = pa.large_string(), pa.large_binary()
+EMPTY = pa.scalar("", KEYS)
 ASCII = {chr(c) for c in range(128)}
-PROBES = ["The", "quick", "straße", "ÀÉÿ", "x", "Zz"]
+PROBES = ["The", " quick", "\nstraße", " ÀÉÿ", " x,;", " Zz#", "\nq."]
+
+
+def _bytes_array(data: np.ndarray | bytes, ends: np.ndarray) -> pa.Array:
+    """Binary values that follow each other in `data`, the first from 0; `ends` in bytes."""
+    return pa.Array.from_buffers(IDS, len(ends), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64)), pa.py_buffer(data)])
+
+
+def _parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a string or binary array without nulls, and where each begins and the last one ends."""
+    places = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1] if len(array) else np.zeros(1, np.int64)
+    return np.frombuffer(array.buffers()[2] or b"", np.uint8)[places[0] : places[-1]], places - places[0]
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, and the place of each text's first one; at the end, their number. A null has none."""
+    raw, edges = _parts(pc.fill_null(texts.cast(KEYS), EMPTY))
+    space = (raw == ord(" ")) | (raw == ord("\n"))  # no other character holds these bytes
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = space[1:] & ~space[:-1]
+    begins[edges[edges < len(raw)]] = True
+    starts = np.flatnonzero(begins)
+    return pa.Array.from_buffers(KEYS, len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(raw)]), np.searchsorted(starts, edges)
+
+
+class Pieces:
+    """Remembered pieces: keys, their ids, and whether a piece was met more than once."""
+
+    def __init__(self, keys: pa.Array | None = None, ids: pa.Array | None = None, again: np.ndarray | None = None):
+        self.keys, self.ids = pa.array([], KEYS) if keys is None else keys, pa.array([], IDS) if ids is None else ids
+        self.again = np.zeros(0, bool) if again is None else again
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.keys.to_pylist())
+
+    def held(self) -> int:
+        return self.keys.nbytes + self.ids.nbytes
+
+    def find(self, keys: pa.Array) -> np.ndarray:
+        """The place of each key, or -1."""
+        if not len(self) or not len(keys):
+            return np.full(len(keys), -1)
+        return pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def met_again(self) -> Pieces:
+        return Pieces(self.keys.filter(pa.array(self.again)), self.ids.filter(pa.array(self.again)), np.zeros(self.again.sum(), bool))
+
+    def add(self, keys: pa.Array, ids: pa.Array, again: np.ndarray) -> None:
+        self.keys, self.ids = pa.concat_arrays([self.keys, keys]), pa.concat_arrays([self.ids, ids])
+        self.again = np.concatenate((self.again, again))
 
 
 class Encoder:
@@ -41,7 +91,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.memo, self.older, self.held, self.seen = Tokenizer.from_file(path), {}, {}, 0, bytearray(SEEN)
+        self.tokenizer, self.memo, self.older = Tokenizer.from_file(path), Pieces(), Pieces()
         plan = json.loads(self.tokenizer.to_str())
         suffix = plan["model"].get("end_of_word_suffix") or ""
         vocabulary = self.tokenizer.get_vocab()
@@ -55,10 +105,11 @@ class Encoder:
         self.space = "" if suffix else written.pre_tokenize_str(" ")[0][0]
         self.whole = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
         self.alone = (normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit())
-        self.direct = True
-        probes = [BARE + PROBES[0], *PROBES[1:]]
         # another kind of tokenizer: words go through all of it
-        self.direct = b"".join(self._words(probes)) == self._plain([" ".join(PROBES)])[0]
+        self.line = written.pre_tokenize_str("\n")[0][0] if self._plain(["\n"])[0] else ""
+        self.direct = True
+        found = self._words(pa.array(PROBES, KEYS))
+        self.direct = found is not None and b"".join(found.to_pylist()) == self._plain(["".join(PROBES)])[0]
 
     def _model_ids(self, forms: str) -> list[int]:
         """Ids of written words between spaces; a second tokenizer without the first steps would hold its tables twice."""
@@ -71,117 +122,101 @@ class Encoder:
             self.tokenizer.pre_tokenizer = self.whole[1]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _words(self, keys: list[str]) -> list[bytes]:
-        """Words of Latin letters, after a space or not: encoded as one text, then cut by the characters that ids stand for."""
-        if not self.direct:
-            return self._plain([_text_of(k) for k in keys])
-        if not keys:
-            return []
-        whole = " ".join(keys)
+        out: list[bytes] = []
+        for k in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False)
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return out
+
+    def _words(self, keys: pa.Array) -> pa.Array | None:
+        """Words of Latin letters with the marks after them: encoded as one text, then cut by the characters that ids stand
+        for. None if that doesn't come out even."""
+        whole = "\x02" + "\x02".join(keys.to_pylist())
         whole = whole.lower() if self.lower else whole
         # some passes at memory speed; what a letter becomes holds no other letter but the first one taken
         for letter in sorted(set(whole) - ASCII, key=lambda c: c != "Ã"):
             whole = whole.replace(letter, self.letters[letter])
-        forms = [k[1:] if k[0] == BARE else self.space + k for k in whole.split(" ")]
-        ids = np.array(self._model_ids(" ".join(forms)), "<u4")
-        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, forms), np.int64, len(forms)))
+        whole = MARKS.sub(r" \1", whole)
+        # a line a piece, spaces between its pre-tokens
+        whole = whole.replace("\x02\n", f"\x03{self.line} ").replace("\x02 ", "\x03" + self.space).replace("\x02", "\x03").replace("\x03", "\n")
+        ids = np.array(self._model_ids(whole), "<u4")
+        chars = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        lines = chars == ord("\n")
+        counted = np.cumsum(~lines & (chars != ord(" ")))
+        wanted = np.append(counted[np.flatnonzero(lines)[1:]], counted[-1])  # characters up to the end of each key
+        ends = np.cumsum(self.sizes[ids])
         last = np.searchsorted(ends, wanted)
         if not len(ends) or last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted):
-            return self._plain([_text_of(k) for k in keys])
-        raw, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
-        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def _new(self, keys: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not remembered, and of the words they are made of."""
-        memo = self.memo
-        words, others = {k for k in keys if k.isalpha()}, set()
-        if FOREIGN.search("".join(words)):
-            others = {k for k in words if FOREIGN.search(k)}
-            words -= others
-        parts = []
-        for key in keys.difference(words, others):
-            if m := WORD.match(key):
-                lead, word, marks = m.groups()
-                parts.append((key, WHOLE + "\n" if lead == "\n" else "", BARE + word if lead else word, WHOLE + marks if marks else ""))
-            else:
-                others.add(key)
-        words.update(p[2] for p in parts if p[2] not in memo)
-        others.update(x for p in parts for x in (p[1], p[3]) if x and x not in memo)
-        listed, spelled = list(others), list(words)
-        found = dict(zip(spelled, self._words(spelled), strict=True))
-        found.update(zip(listed, self._plain([_text_of(k) for k in listed]), strict=True))
-        for key, lead, word, marks in parts:
-            if lead or marks:
-                found[key] = b"".join([memo[x] if x in memo else found[x] for x in (lead, word, marks) if x])
-        return found
-
-    def _remember(self, fresh: dict[str, bytes]) -> None:
-        """A piece is remembered from the second time that it is met; most are met once."""
-        seen, size = self.seen, len(self.seen)
-        kept = {}
-        for key, ids in fresh.items():
-            at = hash(key) % size
-            if seen[at]:
-                if len(key) <= MEMO_CHARS:
-                    kept[key] = ids
-            else:
-                seen[at] = 1
-        self.memo.update(kept)
-        self.held += ENTRY_BYTES * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))
-
-    def encode_group(self, texts: list[str]) -> list[bytes]:
+            return None
+        return _bytes_array(ids, 4 * (last + 1))
+
+    def _new(self, keys: pa.Array) -> pa.Array:
+        """Ids of pieces that are not remembered."""
+        if not self.direct:
+            return pa.array(self._plain(keys.to_pylist()), IDS)
+        latin = pc.match_substring_regex(keys, WORD)
+        words, others = keys.filter(latin), keys.filter(pc.invert(latin))
+        parts = [pa.array(self._plain(others.to_pylist()), IDS)]
+        for k in range(0, len(words), AT_ONCE):
+            some = words.slice(k, AT_ONCE)
+            found = self._words(some)
+            parts.insert(-1, pa.array(self._plain(some.to_pylist()), IDS) if found is None else found)
+        found = pa.concat_arrays(parts)
+        if not len(others):
+            return found
+        at, own = np.empty(len(keys), np.int64), latin.to_numpy(zero_copy_only=False)
+        at[own], at[~own] = np.arange(len(words)), np.arange(len(words), len(keys))
+        return found.take(pa.array(at))
+
+    def _look_up(self, keys: pa.Array, again: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Ids of each of these different pieces, and which of them take their whole text with them. again: pieces that
+        these texts hold more than once."""
+        if self.memo.held() > MEMO_BYTES:  # start anew, but for what is met again
+            self.older, self.memo = self.memo.met_again(), Pieces()
+        at = self.memo.find(keys)
+        self.memo.again[at[at >= 0]] = True
+        odd, gaps = np.zeros(len(keys), bool), np.flatnonzero(at < 0)
+        if not len(gaps):
+            return self.memo.ids.take(pa.array(at)), odd
+        missing = keys.take(pa.array(gaps))
+        before = self.older.find(missing)
+        fresh = missing.filter(pa.array(before < 0))
+        if OTHER_SPACE.search("".join(fresh.to_pylist())):
+            odd[gaps[before < 0]] = [bool(OTHER_SPACE.search(k)) for k in fresh.to_pylist()]
+        place = before.copy()
+        place[before < 0] = len(self.older) + np.arange(len(fresh))
+        found = pa.concat_arrays([self.older.ids, self._new(fresh)]).take(pa.array(place))
+        ids_at = at.copy()
+        ids_at[gaps] = len(self.memo) + np.arange(len(gaps))
+        ids = pa.concat_arrays([self.memo.ids, found]).take(pa.array(ids_at))
+        kept = ~odd[gaps] & (pc.utf8_length(missing).to_numpy(zero_copy_only=False) <= MEMO_CHARS)
+        self.memo.add(missing.filter(pa.array(kept)), found.filter(pa.array(kept)), (again[gaps] | (before >= 0))[kept])
+        return ids, odd
+
+    def encode_array(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, null and empty ones included."""
-        keyed = [_keys(t or "") for t in texts]
-        lookup = self.memo.get
-        ids = [list(map(lookup, keys)) for keys in keyed]
-        gaps = [[i for i, x in enumerate(found) if x is None] if None in found else [] for found in ids]
-        new = {keys[i] for keys, gap in zip(keyed, gaps, strict=True) for i in gap}
-        if new:
-            if self.held > MEMO_BYTES:  # start anew, but for what is met again
-                self.older, self.memo, self.held, self.seen = self.memo, {}, 0, bytearray(SEEN)
-                lookup = self.memo.get
-            fresh = {k: self.older[k] for k in new if k in self.older}
-            odd = {k for k in new if OTHER_SPACE.search(k[1:])} if OTHER_SPACE.search("".join([k[1:] for k in new])) else set()
-            fresh.update(self._new({k for k in new if k not in fresh and k not in odd}))
-            for n, (keys, gap) in enumerate(zip(keyed, gaps, strict=True)):
-                if odd and any(keys[i] in odd for i in gap):
-                    ids[n] = self._plain([texts[n]])
-                else:
-                    for i in gap:
-                        ids[n][i] = fresh[keys[i]]
-            self._remember(fresh)
-        return [b"".join(found) for found in ids]
+        flat, edges = _pieces(texts)
+        coded = flat.dictionary_encode()
+        if not len(coded):
+            return [b""] * len(texts)
+        which = coded.indices.to_numpy()
+        ids, odd = self._look_up(coded.dictionary, np.bincount(which, minlength=len(coded.dictionary)) > 1)
+        raw, places = _parts(ids.take(coded.indices))
+        cuts, raw = places[edges].tolist(), memoryview(raw)
+        out = [bytes(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if odd.any():
+            met = np.concatenate(([0], np.cumsum(odd[which])))
+            for n in np.flatnonzero(np.diff(met[edges])).tolist():
+                out[n] = self._plain([texts[n].as_py()])[0]
+        return out
+
+    def encode_group(self, texts: list[str | None]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, KEYS))
 
     def encode(self, text: str) -> bytes:
         return self.encode_group([text])[0]
 
 
-def _keys(text: str) -> list[str]:
-    """The pieces of a text as they are looked up."""
-    if "\x00" in text or "\x01" in text or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
-        return [WHOLE + p for p in PIECE.findall(text)]
-    if not text:
-        return []
-    keys = text.replace("\n", " \n").split(" ")
-    if keys[0]:
-        keys[0] = BARE + keys[0]
-    else:
-        del keys[0]  # the text begins with a space or line break
-    if not keys[-1]:
-        keys[-1] = WHOLE + " "
-    return keys
-
-
-def _text_of(key: str) -> str:
-    """The piece of text that a key stands for."""
-    if key[0] in "\x00\x01":
-        return key[1:]
-    return key if key[0] == "\n" else " " + key
-
-
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per Python worker and file; reused by later tasks of the worker."""
@@ -198,5 +233,5 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: bytes) -> Iterato
         cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
-                ids = coder.encode_group(texts.slice(a, b - a).to_pylist())
+                ids = coder.encode_array(texts.slice(a, b - a))
                 yield batch.column(0).slice(a, b - a).to_pylist(), [x + end for x in ids]
