@@ -108,6 +108,27 @@ def test_each_piece_goes_to_the_tokenizer_once(monkeypatch, name):
     assert len(coder.encode_group(["thon"] * 3 + ["a \u3000b c", "a\tb", "thon"])) == 6
 
 
+@pytest.mark.parametrize("kind", ["string", "large_string"])
+def test_batches_are_encoded_in_groups(monkeypatch, kind):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    file, sent, end = tokenizer_file("byte_bpe_50k.json"), [], b"\0\0\0\0"
+    tokens.encoder.cache_clear()
+    coder, whole = tokens.encoder(file), Tokenizer.from_file(file)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 50)
+    monkeypatch.setattr(tokens, "AT_ONCE", 3)
+    model = coder._model_ids
+    monkeypatch.setattr(coder, "_model_ids", lambda forms: sent.extend(forms.split()) or model(forms))
+    texts = ["cut off", None, "", prose(60, 3), "a\tb", None, *[prose(k, 4) for k in range(12)], "", prose(30, 3) + "\n\nNo, é."]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, kind)], names=["doc_id", "text"])[1:]
+    got = [x for keys, ids in tokens.encoded(iter([batch, batch[:0], batch]), file, end) for x in zip(keys, ids, strict=True)]
+    want = [(k, np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for k, t in enumerate(texts) if k]
+    assert got == want * 2
+    assert sent and len(sent) == len(set(sent))  # a word goes to the model once, whatever group or batch it is met in
+    tokens.encoder.cache_clear()
+
+
 @pytest.mark.parametrize("ids", [[5], [7] * 3000, list(range(2500)), [0, 2**32 - 1] * 600, [DICE.randrange(50_000) if DICE.random() < 0.9 else DICE.randrange(2**32) for _ in range(4000)]])
 def test_blocks_round_trip(ids):
     starts, payload = token_store.pack_ids(np.array(ids, "<u4"))
