@@ -4,8 +4,11 @@ columns with clashing names."""
 import collections
 import itertools
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripgrain.llm import decontaminate, html_text, language_model, packing, quality_model, quality_rules, simhash, token_store, tokens, toxicity, url_rules
+from tripgrain.llm.common import HOME
 from tripgrain.llm.queries import QUERIES, tokenizer_file
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -129,6 +133,48 @@ def test_batches_are_encoded_in_groups(monkeypatch, kind):
     tokens.encoder.cache_clear()
 
 
+HELD_BY_A_WORKER = """
+import random, re, sys
+import pyarrow as pa
+from tripgrain.llm import tokens
+from tripgrain.llm.queries import tokenizer_file
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read()).group(1)) >> 10
+
+dice, parts = random.Random(5), ["tion", "ing", "an", "the", "er", "wh", "is", "on", "re", "at", "st", "ly", "ou", "or"]
+words = ["".join(dice.choices(parts, k=dice.randint(1, 5))) for _ in range(400_000)]
+text = " ".join(dice.choices(words, k=2_500_000))
+size = 10_000
+batch = pa.RecordBatch.from_arrays([pa.array(range(len(text) // size)), pa.array([text[k * size : (k + 1) * size] for k in range(len(text) // size)])], names=["doc_id", "text"])
+del words, text
+start, most = held(), 0
+for keys, ids in tokens.encoded(iter([batch]), tokenizer_file("byte_bpe_50k.json"), b""):
+    most = max(most, held() - start)
+print(most)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/status"), reason="memory is read from /proc")
+def test_a_worker_gives_back_what_encoding_took():
+    held = subprocess.run([sys.executable, "-c", HELD_BY_A_WORKER], cwd=HOME, capture_output=True, text=True, check=True, timeout=300).stdout
+    assert int(held) < 50, held  # MB between groups; 94 if nothing is given back
+
+
+def test_a_group_is_encoded_in_stretches(monkeypatch):
+    import pyarrow as pa
+
+    file, sizes = tokenizer_file("byte_bpe_50k.json"), []
+    whole = tokens.Encoder(file).encode_group(texts := [None, "", *[prose(k, 4) for k in range(40)], prose(300, 5), ""])
+    encode = tokens.Encoder.encode_array
+    monkeypatch.setattr(tokens, "STRETCH_BYTES", 500)
+    monkeypatch.setattr(tokens.Encoder, "encode_array", lambda coder, some: sizes.append(sum(len(t or "") for t in some.to_pylist())) or encode(coder, some))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    assert [(keys, ids) for keys, ids in tokens.encoded(iter([batch]), file, b"")] == [([*range(len(texts))], whole)]  # one group still
+    longest = max(len(t or "") for t in texts)
+    assert len(sizes) > 5 and max(sizes) <= 500 + longest
+
+
 @pytest.mark.parametrize("ids", [[5], [7] * 3000, list(range(2500)), [0, 2**32 - 1] * 600, [DICE.randrange(50_000) if DICE.random() < 0.9 else DICE.randrange(2**32) for _ in range(4000)]])
 def test_blocks_round_trip(ids):
     starts, payload = token_store.pack_ids(np.array(ids, "<u4"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import sys
@@ -38,15 +39,23 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def release_memory() -> None:
-    """Let go of what earlier tasks of this Python worker have kept for later ones: a tokenizer with its remembered pieces,
-    and Arrow's unused buffers. Workers serve many stages in turn; an operator that needs none of it calls this first."""
+def give_back() -> None:
+    """Return to the machine what Arrow and the C library hold of memory that is no longer used. The latter keeps all pages
+    below its last block in use, and so most of what large arrays have taken between small objects that stay."""
     import pyarrow as pa
 
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def release_memory() -> None:
+    """Let go of what earlier tasks of this Python worker have kept for later ones: a tokenizer with its remembered pieces,
+    and unused memory. Workers serve many stages in turn; an operator that needs none of it calls this first."""
     if tokens := sys.modules.get("tripgrain.llm.tokens"):
         tokens.encoder.cache_clear()
     gc.collect()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

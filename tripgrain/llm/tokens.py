@@ -1,7 +1,7 @@
 """Token ids with a public tokenizer file, inside tasks. Ids travel as little-endian unsigned 32-bit integers.
 
-Words repeat: a group of texts is cut into pieces and each distinct piece is looked up once, all in Arrow. The ids of pieces
-met before are remembered; the words that a group brings anew are encoded together. A piece starts where a space or line
+Words repeat: a stretch of texts is cut into pieces and each distinct piece is looked up once, all in Arrow. The ids of pieces
+met before are remembered; the words that a stretch brings anew are encoded together, and what that took is given back. A piece starts where a space or line
 break follows another character: both tokenizers in use end a pre-token there, so pieces can be encoded one by one. Texts
 with other white space are encoded whole.
 """
@@ -18,10 +18,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tripgrain.llm.common import give_back
+
 MEMO_BYTES = 24 << 20  # of remembered pieces; then a worker starts anew, and keeps those met again until it does so again
 MEMO_CHARS = 48  # longer pieces are not remembered
-GROUP_BYTES = 8 << 20  # of texts that are encoded together
-AT_ONCE = 1 << 15  # pieces given to the tokenizer at once; what it returns takes far more memory than the ids
+GROUP_BYTES = 8 << 20  # of texts whose ids are handed on together
+STRETCH_BYTES = 2 << 20  # of a group's texts that are encoded together; their pieces and places take many times their size
+AT_ONCE = 1 << 13  # pieces given to the tokenizer at once; what it returns takes far more memory than the ids
 
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​-‍⁠﻿]")
 # A word and the marks after it: both tokenizers end a pre-token between the two, and before the next word's space.
@@ -73,10 +76,14 @@ class Pieces:
         return self.keys.nbytes + self.ids.nbytes
 
     def find(self, keys: pa.Array) -> np.ndarray:
-        """The place of each key, or -1."""
+        """The place of each of these different keys, or -1."""
         if not len(self) or not len(keys):
             return np.full(len(keys), -1)
-        return pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        # the hash table, made anew each time, is that of a stretch's keys, which are fewer
+        found = pc.fill_null(pc.index_in(self.keys, value_set=keys), -1).to_numpy(zero_copy_only=False)
+        held, at = np.flatnonzero(found >= 0), np.full(len(keys), -1)
+        at[found[held]] = held
+        return at
 
     def met_again(self) -> Pieces:
         return Pieces(self.keys.filter(pa.array(self.again)), self.ids.filter(pa.array(self.again)), np.zeros(self.again.sum(), bool))
@@ -220,7 +227,16 @@ class Encoder:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per Python worker and file; reused by later tasks of the worker."""
-    return Encoder(path)
+    made = Encoder(path)
+    give_back()
+    return made
+
+
+def _stretches(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive texts of about `size` bytes together; a longer text is not cut."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1).tolist(), len(texts)]
+    return ((a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a)
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: bytes) -> Iterator[tuple[list, list[bytes]]]:
@@ -228,10 +244,9 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: bytes) -> Iterato
     coder = encoder(path)
     for batch in batches:
         texts = batch.column(1)
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        groups = np.cumsum(sizes) // GROUP_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b > a:
-                ids = coder.encode_array(texts.slice(a, b - a))
-                yield batch.column(0).slice(a, b - a).to_pylist(), [x + end for x in ids]
+        for a, b in _stretches(texts, GROUP_BYTES):
+            group, ids = texts.slice(a, b - a), []
+            for c, d in _stretches(group, STRETCH_BYTES):
+                ids += [x + end for x in coder.encode_array(group.slice(c, d - c))]
+                give_back()
+            yield batch.column(0).slice(a, b - a).to_pylist(), ids
