@@ -52,26 +52,40 @@ def piece_length(n: int, edits: int) -> int:
     return max(1, min(PIECE, n // (edits + 1)))
 
 
-def _hash(tokens: Column, mask: str, at: Column | int) -> Column:
-    """Of the mask at a place; the mask's number keeps the hashes of different masks apart."""
-    return F.xxhash64(F.lit(int(mask, 2)), *(F.get(tokens, at + F.lit(k)) for k, bit in enumerate(mask) if bit == "1"))
+def _codes(tokens: Column) -> Column:
+    """A number for each token. Masks are hashed from these, so that a token's letters are read once."""
+    return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _seeds(tokens: Column, mask: str) -> Column:
-    """Hash of the mask at every place."""
-    places = F.sequence(F.lit(0), F.size(tokens) - len(mask))
-    return F.when(F.size(tokens) >= len(mask), F.transform(places, lambda i: _hash(tokens, mask, i))).otherwise(F.array().cast("array<bigint>"))
+def _hash(codes: Sequence[Column], mask: str) -> Column:
+    """Of the codes that the mask leaves in; the mask's number keeps the hashes of different masks apart."""
+    return F.xxhash64(F.lit(int(mask, 2)), *(code for code, bit in zip(codes, mask, strict=False) if bit == "1"))
 
 
-def _piece(tokens: Column, length: int, i: Column) -> Column:
+def _seed(codes: Column, mask: str, at: Column | int) -> Column:
+    """at, seed of the mask at a place."""
+    at = F.lit(at) if isinstance(at, int) else at
+    return F.struct(at.alias("at"), _hash([F.get(codes, at + F.lit(k)) for k in range(len(mask))], mask).alias("seed"))
+
+
+def _piece(codes: Column, length: int, i: Column) -> Column:
     """at, seed of the piece with this number."""
-    return F.struct((i * length).alias("at"), _hash(tokens, "1" * length, i * length).alias("seed"))
+    return _seed(codes, "1" * length, i * length)
+
 
+def _exploded(df: DataFrame, key: str, masks: Sequence[str]) -> DataFrame:
+    """key, at, seed: one row per mask and place of `codes`.
 
-def _exploded(df: DataFrame, keys: list[str], masks: Sequence[str]) -> DataFrame:
-    """keys, seed, at: one row per mask and place of `tokens`."""
-    arrays = df.select(*keys, F.explode(F.array(*(_seeds(F.col("tokens"), m) for m in masks))).alias("seeds"))
-    return arrays.select(*keys, F.posexplode("seeds").alias("at", "seed"))
+    Places become rows before masks are hashed: Spark compiles expressions on columns, and interprets those within
+    transform(). The codes from a place on are columns of their own, as all masks share them. The outer form spares a
+    filter on empty texts, for which Spark would cut every text into tokens twice; their one row has no place, so no seed."""
+    longest = range(max(map(len, masks)))
+    ahead = [f"code_{k}" for k in longest]
+    places = df.select(F.col(key).alias("key"), "codes", F.size("codes").alias("n"), F.posexplode_outer("codes").alias("at", "code"))
+    near = places.select("key", "at", (F.col("n") - F.col("at")).alias("room"), *(F.get("codes", F.col("at") + F.lit(k)).alias(ahead[k]) for k in longest))
+    # a mask that reaches beyond the text has no hash
+    hashes = F.array(*(F.when(F.col("room") >= len(m), _hash([F.col(c) for c in ahead], m)) for m in masks))
+    return near.select(F.col("key").alias(key), "at", F.explode(hashes).alias("seed")).where("seed is not null")
 
 
 def _let(value: Column, use) -> Column:
@@ -118,7 +132,8 @@ def find_leaks(
     """
     tests = items.select(F.col(item_id).alias("item_id"), tokens_of(F.col(text)).alias("tokens")).where("item_id is not null and size(tokens) > 0").dropDuplicates()
     tests = stored(tests, "leak-items")
-    texts = docs.select(F.col(doc_id).alias("doc_id"), tokens_of(F.col(text)).alias("tokens")).where("doc_id is not null")
+    coded = tests.withColumn("codes", _codes(F.col("tokens")))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     size = F.size("tokens")
     edits = F.greatest(F.lit(0), size - F.ceil(F.lit(float(min_overlap)) * size)).cast("int")
     pieces = F.greatest(F.lit(1), F.least(F.lit(PIECE), F.floor(size / (edits + 1)))).cast("int")
@@ -127,23 +142,24 @@ def find_leaks(
     cuts = sorted(r[0] for r in tests.where(size >= SHORT).select(pieces).distinct().collect())
     few_left = {n: left_out(n, allowed_edits(n, min_overlap)) for n in lengths}
     every = list(dict.fromkeys([*masks, *("1" * q for q in cuts), *(m for n in lengths for m, _ in few_left[n])]))
-    seeds = _exploded(tests, ["item_id"], masks).select("item_id", "seed", "at")
+    seeds = _exploded(coded, "item_id", masks).select("item_id", "seed", "at")
     for n in lengths:
-        table = F.array(*(F.struct(F.lit(at).alias("at"), _hash(F.col("tokens"), m, F.lit(at)).alias("seed")) for m, at in few_left[n]))
-        seeds = seeds.unionByName(tests.where(size == n).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
+        table = F.array(*(_seed(F.col("codes"), m, at) for m, at in few_left[n]))
+        seeds = seeds.unionByName(coded.where(size == n).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
     for q in cuts:
         last = F.least(edits, F.floor(size / q).cast("int") - 1)
-        table = F.transform(F.sequence(F.lit(0), last), partial(_piece, F.col("tokens"), q))
-        seeds = seeds.unionByName(tests.where((size >= SHORT) & (pieces == q)).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
+        table = F.transform(F.sequence(F.lit(0), last), partial(_piece, F.col("codes"), q))
+        seeds = seeds.unionByName(coded.where((size >= SHORT) & (pieces == q)).select("item_id", F.explode(table).alias("p")).select("item_id", "p.seed", "p.at"))
     seeds = stored(seeds.select("item_id", "seed", F.col("at").alias("item_at")).dropDuplicates(), "leak-seeds")
     known = stored(seeds.select("seed").distinct(), "leak-hashes")
     few = known.count() <= BROADCAST_HASHES
     # texts: only the hashes that a test item has go on
-    hits = _exploded(texts, ["doc_id"], every).join(F.broadcast(known) if few else known, "seed", "left_semi")
+    hits = _exploded(texts.select("doc_id", _codes(tokens_of(F.col("text"))).alias("codes")), "doc_id", every).join(F.broadcast(known) if few else known, "seed", "left_semi")
     pairs = stored(
         hits.join(seeds, "seed").groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count(F.lit(1)).alias("n_hits")), "leak-hits"
     )
-    suspects = texts.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    # cut into tokens after the join
+    suspects = texts.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", tokens_of(F.col("text")).alias("tokens"))
     t, u, shift = F.col("tokens"), F.col("item_tokens_list"), F.col("shift")
     n = F.size(u)
     # get() gives null outside the text, which counts as a mismatch
